@@ -1,0 +1 @@
+"""Statistical grids, rasters, road networks and corpora as Spark DataFrames."""
