@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,16 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.plans.shared import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset (local runs)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="gridloom-")
-        if not held.isDefined():
-            spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+
+_SIMPLE = {"long": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "string": T.StringType, "boolean": T.BooleanType, "binary": T.BinaryType}
+
+
+def kind(text: str) -> T.DataType:
+    """A type by name, array<...> and struct<name:...> included; works without a session, as in workers."""
+    text = text.strip()
+    if text.startswith("array<"):
+        return T.ArrayType(kind(text[6:-1]))
+    if text.startswith("struct<"):
+        return T.StructType([T.StructField(n, kind(t)) for n, t in (x.split(":", 1) for x in _parts(text[7:-1]))])
+    return _SIMPLE[text]()
+
+
+def _parts(text: str) -> list[str]:
+    out, depth = [""], 0
+    for c in text:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x.strip() for x in out]
+
+
+def schema_of(text: str) -> T.StructType:
+    """A schema from ``name type, name type``."""
+    return T.StructType([T.StructField(n, kind(t)) for n, t in (x.split(" ", 1) for x in _parts(text))])
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -47,7 +66,7 @@ def fresh(df: DataFrame, name: str) -> str:
 def map_texts(df: DataFrame, columns: list, fields: str, kernel: Callable[[pa.RecordBatch], list]) -> DataFrame:
     """The columns, then the fields that ``kernel`` makes of each Arrow batch of them, in place of the last column (the text)."""
     narrow = df.select(*columns)
-    schema = T.StructType(narrow.schema.fields[:-1] + T._parse_datatype_string(fields).fields)
+    schema = T.StructType(narrow.schema.fields[:-1] + schema_of(fields).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -67,7 +86,7 @@ def append_columns(df: DataFrame, text_col: str, fields: list[tuple[str, str]],
     for name, _ in fields:
         names.append(fresh(shadow, name))
         shadow = shadow.withColumn(names[-1], F.lit(None))
-    schema = T.StructType(df.schema.fields + [T.StructField(n, T._parse_datatype_string(kind)) for n, (_, kind) in zip(names, fields, strict=True)])
+    schema = T.StructType(df.schema.fields + [T.StructField(n, kind(k)) for n, (_, k) in zip(names, fields, strict=True)])
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

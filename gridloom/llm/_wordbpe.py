@@ -18,8 +18,12 @@ import unicodedata
 import numpy as np
 import regex
 
+from gridloom.llm._ragged import span_hashes
+
 NONE = np.iinfo(np.int32).max
 KEPT_WORDS = 700_000
+#: Printable ASCII and Latin letters, as they stay when lower-cased: all of a known class, none changed by composition.
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-įĲ-ɏ]+").fullmatch
 _SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 
 
@@ -38,23 +42,43 @@ class WordBpe:
         self.size = max(vocab.values()) + 1
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], np.arange(len(pairs), dtype=np.int32)[order]
-        self.made = np.array([vocab[a + b] for a, b in pairs], np.int32)[order]
+        self.fill(keys, np.array([vocab[a + b] for a, b in pairs], np.int32))
         symbols = byte_symbols()
         self.inner = np.array([vocab[c] for c in symbols], np.int32)
         self.last = np.array([vocab[c + self.suffix] for c in symbols], np.int32)
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.marks = sorted({x[:2] for x in self.special})
         pattern = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.find = regex.compile(pattern).findall
-        #: The same pattern over lower-case ASCII.
-        self.find_ascii = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9").replace(r"[[a-z]+]", "[a-z]+")).findall
+        #: The same pattern over the lower-case letters, digits and marks of PLAIN, and line feeds as tokens.
+        self.find_plain = re.compile(pattern.replace(r"\p{L}", "a-zÀ-ÖØ-öø-ɏ").replace(r"\p{N}", "0-9") + r"|\n").findall
         self.kept: dict[str, bytes] = {}
 
+    def fill(self, keys: np.ndarray, made: np.ndarray) -> None:
+        """An open-addressing table of the pairs: key, rank, made symbol."""
+        self.shift = np.uint64(64 - max(4, int(len(keys) * 3).bit_length()))
+        self.mask = (1 << int(64 - self.shift)) - 1
+        self.keys = np.full(self.mask + 1, -1, np.int64)
+        self.ranks, self.made = np.full(self.mask + 1, NONE, np.int32), np.zeros(self.mask + 1, np.int32)
+        for rank, (key, slot) in enumerate(zip(keys.tolist(), self.slot(keys).tolist(), strict=True)):
+            while self.keys[slot] != -1:
+                slot = (slot + 1) & self.mask
+            self.keys[slot], self.ranks[slot], self.made[slot] = key, rank, made[rank]
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, made symbol) of each pair; NONE for a pair that never merges."""
         key = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        at = self.slot(key)
+        found = self.keys[at]
+        open_ = np.flatnonzero((found != key) & (found != -1))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            again = self.keys[at[open_]]
+            open_ = open_[(again != key[open_]) & (again != -1)]
         return np.where(self.keys[at] == key, self.ranks[at], NONE), self.made[at]
 
     def merge(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,39 +121,59 @@ class WordBpe:
         return ids[order], np.concatenate(([0], np.cumsum(np.bincount(seq, minlength=n))))
 
     def pretokens(self, word: str) -> list[str]:
-        if word.isascii():
-            return self.find_ascii(word.lower())
-        return self.find("".join(c.lower() for c in unicodedata.normalize("NFC", word)) if "Σ" in word else unicodedata.normalize("NFC", word).lower())
+        word = unicodedata.normalize("NFC", word)
+        return self.find("".join(c.lower() for c in word) if "Σ" in word else word.lower())
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each white-space word, as little-endian 32-bit numbers."""
-        parts: list[str] = []
-        owner: list[int] = []
-        fixed: dict[int, int] = {}
-        for i, word in enumerate(words):
-            pieces = self.cut_special.split(word) if self.cut_special and "<" in word else (word,)
-            for piece in pieces:
-                if piece in self.special:
-                    fixed[len(parts)] = self.special[piece]
-                    parts.append("?")
-                    owner.append(i)
-                elif piece:
-                    found = self.pretokens(piece)
-                    parts += found
-                    owner += [i] * len(found)
-        if not parts:
-            return [b""] * len(words)
-        coded = [p.encode() for p in parts]
-        at = np.concatenate(([0], np.cumsum([len(c) for c in coded])))
-        data = np.frombuffer(b"".join(coded), np.uint8)
-        ids = self.inner[data]
-        ids[at[1:] - 1] = self.last[data[at[1:] - 1]]
+        out = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if PLAIN(w) and not any(m in w for m in self.marks)]
+        if plain:
+            for i, ids in zip(plain, self.encode_plain([words[i] for i in plain]), strict=True):
+                out[i] = ids
+            others = sorted(set(range(len(words))).difference(plain))
+        else:
+            others = range(len(words))
+        for i in others:
+            if words[i]:
+                out[i] = self.encode_odd(words[i])
+        return out
+
+    def encode_odd(self, word: str) -> bytes:
+        """A word with special strings or characters outside PLAIN."""
+        ids: list[np.ndarray] = []
+        for piece in self.cut_special.split(word) if self.cut_special else (word,):
+            if piece in self.special:
+                ids.append(np.array([self.special[piece]], np.int32))
+            for token in self.pretokens(piece) if piece not in self.special else ():
+                data = np.frombuffer(token.encode(), np.uint8)
+                symbols = self.inner[data]
+                symbols[-1] = self.last[data[-1]]
+                ids.append(self.merge(symbols, np.array([0, len(symbols)]))[0])
+        return np.concatenate(ids).astype("<u4").tobytes() if ids else b""
+
+    def encode_plain(self, words: list[str]) -> list[bytes]:
+        joined = "\n".join(words).lower()
+        tokens = self.find_plain(joined)  # they cover every character
+        data = np.frombuffer(joined.encode(), np.uint8)
+        lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        ends = lead[np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))]
+        starts = np.concatenate(([0], ends[:-1]))
+        line = data[starts] == 10
+        owner = np.cumsum(line)[~line]
+        starts, ends = starts[~line], ends[~line]
+        _, first, place = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        starts, ends = starts[first], ends[first]  # each distinct pre-token once
+        at = np.concatenate(([0], np.cumsum(ends - starts)))
+        own = data[np.arange(int(at[-1])) + np.repeat(starts - at[:-1], ends - starts)]
+        ids = self.inner[own]
+        ids[at[1:] - 1] = self.last[own[at[1:] - 1]]
         ids, at = self.merge(ids, at)
-        for i, special in fixed.items():  # a placeholder is one symbol
-            ids[at[i]] = special
-        words_at = at[np.searchsorted(np.array(owner), np.arange(len(words) + 1))]
-        whole = ids.astype("<u4").tobytes()
-        return [whole[4 * a : 4 * b] for a, b in zip(words_at[:-1].tolist(), words_at[1:].tolist(), strict=True)]
+        size = np.diff(at)[place]
+        to = np.concatenate(([0], np.cumsum(size)))
+        whole = ids[np.arange(int(to[-1])) + np.repeat(at[:-1][place] - to[:-1], size)].astype("<u4").tobytes()
+        cut = (4 * to[np.searchsorted(owner, np.arange(len(words) + 1))]).tolist()
+        return [whole[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
     def split(self, text: str) -> list[str]:
         """White-space words; some may be empty."""
@@ -143,8 +187,8 @@ class WordBpe:
         if len(self.kept) + len(wanted) > limit:
             self.kept = {w: self.kept[w] for w in wanted if w in self.kept}
         new = [w for w in wanted if w not in self.kept]
-        for lo in range(0, len(new), 50_000):
-            some = new[lo : lo + 50_000]
+        for lo in range(0, len(new), 200_000):
+            some = new[lo : lo + 200_000]
             self.kept.update(zip(some, self.encode_words(some), strict=True))
         return self.kept
 
