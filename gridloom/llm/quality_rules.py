@@ -41,7 +41,7 @@ FIGURES = [(n, "long") for n in ("n_words", "word_chars", "n_symbols", "n_dup_li
 #: name: (numerator, denominator, factor, floor, ceiling); a ratio is numerator * factor div denominator.
 RULES = {
     "symbols": ("n_symbols", "word_chars", 1000, 60, 200),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, 700),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 500, 800),
     "long_words": ("word_chars", "n_words", 10, 120, 250),
 }
 QUARTERS = (25, 75)
