@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, then) -> Column:
+    """then(value) with the value worked out once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def segments(line: Column) -> Column:
     """The line's segments, each an array of two points; [] for fewer than two points."""
     return F.when(F.size(line) >= 2, F.transform(F.sequence(F.lit(1), F.size(line) - 1), lambda i: F.slice(line, i, 2))).otherwise(F.slice(F.array(line), 2, 1))
@@ -113,8 +118,8 @@ def clip_ring(ring: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Colu
             a, b = s[0], s[1]
             return F.when(inside(a) & inside(b), F.array(b)).when(inside(a), F.array(cross(a, b))).when(inside(b), F.array(cross(a, b), b)).otherwise(F.slice(F.array(b), 2, 1))
 
-        made = F.flatten(F.transform(segments(r), step))
-        return F.when(F.size(made) > 0, F.concat(made, F.slice(made, 1, 1))).otherwise(made)
+        closed = lambda made: F.when(F.size(made) > 0, F.concat(made, F.slice(made, 1, 1))).otherwise(made)
+        return let(r, lambda held: let(F.flatten(F.transform(segments(held), step)), closed))
 
     at_x = lambda x: lambda a, b: F.array(x.cast("double"), a[1] + (b[1] - a[1]) * (x - a[0]) / (b[0] - a[0]))
     at_y = lambda y: lambda a, b: F.array(a[0] + (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]), y.cast("double"))

@@ -99,7 +99,7 @@ def ratio_after_aggregation(spark, sf):
     return made.withColumn("share", F.bround(grid.ratio(c("part"), c("pop")), 6))
 
 
-_AGG = "case when count(*) filter (v = '') > 0 then null when count(*) filter (v not in ('0', '')) = 0 then 0 when count(*) filter (v not in ('0', '', '-1')) = 0 then -1 else sum(cast(v as bigint)) filter (v not in ('0', '', '-1')) end"
+_AGG = "case when count(*) filter (v = '') > 0 then null when count(*) filter (v not in ('0', '')) = 0 then 0 when count(*) filter (v not in ('0', '', '-1')) = 0 then -1 else sum(try_cast(v as bigint)) filter (v not in ('0', '', '-1')) end"
 _SENTINEL = "case when {k} % 97 = 0 then '' when {k} % 3 = 0 then '0' when {k} % 3 = 1 and {k} % 5 < 3 then '-1' else cast({k} % 50 as {s}) end"
 
 
