@@ -37,7 +37,7 @@ from gridloom.llm import _ragged as R
 from gridloom.llm._spark import schema_of, slots, stage
 
 CHUNK_TOKENS = 3_000_000
-MASS = 20.0
+MASS = 500.0
 END, START = np.uint64(0xE4D), np.uint64(0x57A47)
 WORD, PAIR = 0, 1
 
