@@ -17,8 +17,8 @@ from gridloom.plans.shared import keep
 
 def _hang(pairs: DataFrame) -> DataFrame:
     """(u, v) for each u and neighbour v, with the least node around u (u itself included) as m."""
-    least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return pairs.join(least, "u")
+    least = keep(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
+    return pairs.join(least, "u")  # both sides are dealt anew here, so a hub's rows can be split
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -27,9 +27,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     stars = keep(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
     for _ in range(max_rounds):
         both = stars.where("u <> v").select("u", "v").unionByName(stars.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _hang(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = keep(_hang(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
         # small star: every node above its least neighbour hangs its smaller neighbours and itself there
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = keep(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         hung = large.join(least, "u")
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         now = keep(small, "components")

@@ -170,3 +170,13 @@ def people_to_grid(people: DataFrame, res: int, structure: dict[str, list[str]])
 
 def covered_cells(boxes: DataFrame, res: int) -> DataFrame:
     return cells_of_box(boxes, res)
+
+
+def use_shares(use: Column, residential: tuple, activity: tuple, both: tuple = ()) -> dict[str, Column]:
+    """Shares by a single use: all of it, or 0.7 and 0.3 where a use serves both; 0.1 each where it is unknown."""
+    of = lambda mine: F.when(_sure(use.isin(*mine)), 1.0)
+    mixed = _sure(use.isin(*both)) if both else F.lit(False)
+    return {
+        "residential": of(residential).when(mixed, 0.7).when(use.isNull(), 0.1).otherwise(0.0),
+        "activity": of(activity).when(mixed, 0.3).when(use.isNull(), 0.1).otherwise(0.0),
+    }

@@ -102,3 +102,24 @@ def neighbours(df: DataFrame, bx: str = "bx", by: str = "by") -> DataFrame:
     """df with its bucket and the eight around it."""
     around = F.array(*[F.struct((F.col(bx) + i).alias("x"), (F.col(by) + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     return df.withColumn("__n", F.explode(around)).withColumns({bx: F.col("__n.x"), by: F.col("__n.y")}).drop("__n")
+
+
+def point_counts(points: DataFrame, levels: list[int], rounded_to: int = 10) -> DataFrame:
+    """(res, x, y, n): points by cell at several resolutions, their coordinates rounded first."""
+    digits = -(len(str(rounded_to)) - 1)
+    near = points.select(half_even(F.col("x").cast("double"), digits).alias("x"), half_even(F.col("y").cast("double"), digits).alias("y")).dropna()
+    return pyramid(near.withColumn("n", F.lit(1)), levels, {"n": F.sum("n")})
+
+
+def dense_codes(labels: DataFrame, name: str, code: str = "code") -> DataFrame:
+    """A whole number from 1 for each distinct label, in the labels' order.
+
+    Numbers come from a range sort and one count for each partition, so labels are never gathered in one task.
+    """
+    from gridloom.plans.shared import keep
+
+    held = keep(labels.select(name).distinct().orderBy(name).withColumn("__part", F.spark_partition_id()), "codes")
+    base = held.groupBy("__part").agg(F.count("*").alias("n"), F.min(name).alias("first"))
+    before = base.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each partition
+    rank = F.row_number().over(Window.partitionBy("__part").orderBy(name))
+    return held.join(F.broadcast(before.select("__part", "before")), "__part").select(name, (rank + F.col("before")).cast("long").alias(code))

@@ -94,3 +94,10 @@ def access_grid(cells: DataFrame, labels: DataFrame, k: int, res: int, speed: fl
     costs = {f"duration_{i}": F.coalesce(F.col(f"c{i}") + added, F.lit(-1.0)) for i in range(1, k + 1)}
     known = sum((F.col(f"c{i}") for i in range(2, k + 1)), F.col("c1"))
     return held.join(wide, "node", "left").select("grd_id", F.bround("distance").cast("long").alias("distance_to_node"), *[c.alias(n) for n, c in costs.items()], F.coalesce(known / k + added, F.lit(-1.0)).alias("duration_average"))
+
+
+def pair_costs(edges: DataFrame, pairs: DataFrame, limit: float | None = None) -> DataFrame:
+    """(a, b, cost) of node pairs (a, b): the cheapest way from a to b; null without one (or none within the limit)."""
+    origins = pairs.select(F.col("a").alias("node")).distinct()
+    found = reach(edges, origins, limit if limit is not None else float("inf")).select(F.col("source").alias("a"), F.col("node").alias("b"), "cost")
+    return pairs.join(found, ["a", "b"], "left")

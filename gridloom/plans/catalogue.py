@@ -629,3 +629,62 @@ def event_windows(spark, sf):
 
     rows = table(spark, sf, "events").select("ts", c("user_id").alias("x"), F.lit(0).alias("y"))
     return windowed_cells(rows, 50, "1 day", "1 day", {"n": F.count("*")}).select(c("window.start").alias("day"), "x", "y", "n")
+
+
+# lines, codes, kernels
+
+
+@query(sql("select res, x, y, cast(count(*) as bigint) as n from (select unnest([2000, 10000]) as res, px, py from (select x as px, y as py from poi)), lateral (select px // res * res as x, py // res * res as y) group by 1, 2, 3", "poi"))
+def poi_counts(spark, sf):
+    return grid.point_counts(X.pois(spark, sf), [2000, 10000])
+
+
+@query(sql("select distinct code, dense_rank() over (order by code)::bigint as number from pop", "pop"))
+def dense_codes(spark, sf):
+    return grid.dense_codes(X.pop_cells(spark, sf), "code", "number")
+
+
+@query(sql("select id as b, x::double as x, y::double as y from (select b.id, unnest(range(3000000, 3040001, 2000)) as y, xmin, ymin, xmax, ymax from buildings b) t, (values (0)) u(z), lateral (select unnest([xmin, xmax]) as x) where y between ymin and ymax group by all", "buildings"))
+def line_crossings(spark, sf):
+    lines = spark.range(0, 21).select(c("id"), F.array(F.array(F.lit(3999000.0), (3000000 + c("id") * 2000).cast("double")), F.array(F.lit(4061000.0), (3000000 + c("id") * 2000).cast("double"))).alias("line"))
+    rings = X.buildings(spark, sf).select("id", G.box_ring(c("xmin"), c("ymin"), c("xmax"), c("ymax")).alias("line"))
+    from gridloom.operators.lines import crossings
+
+    return crossings(lines, rings, 500.0).select("b", "x", "y")
+
+
+@query(sql(f"{_LABELS} select a, b, cost from (select node as a, (node * 13 + 5) % 1500 as b from sources) p left join (select source, node, cost from sp where cost <= 40) s on s.source = p.a and s.node = p.b", "edges", "sources", recursive=True))
+def pair_costs(spark, sf):
+    pairs = X.sources(spark, sf).selectExpr("node as a", "(node * 13 + 5) % 1500 as b")
+    return paths.pair_costs(X.edges(spark, sf), pairs, 40)
+
+
+@query("select p_partkey as id, 3 as points, 0.0::double as off from part where p_size > 0")
+def line_simplify(spark, sf):
+    from gridloom.functions import kernels
+
+    made = table(spark, sf, "part").where("p_size > 0").select(c("p_partkey").alias("id"), F.expr(_LINE).alias("line"))
+    made = made.withColumn("dense", G.densify(c("line"), 20.0))
+    thin = kernels.simplify(0.5)(c("dense"))
+    return made.select("id", F.size(thin).alias("points"), kernels.hausdorff(thin, c("line")).alias("off"))
+
+
+@query(sql("select id, round((xmin + xmax) / 2.0::double, 4) as x, round((ymin + ymax) / 2.0::double, 4) as y from buildings", "buildings"))
+def hull_centres(spark, sf):
+    from gridloom.functions import kernels
+
+    made = X.buildings(spark, sf).select("id", kernels.hull_centre(G.box_ring(c("xmin") - 4000000, c("ymin") - 3000000, c("xmax") - 4000000, c("ymax") - 3000000)).alias("p"))
+    return made.select("id", (F.round(c("p")[0], 4) + 4000000).alias("x"), (F.round(c("p")[1], 4) + 3000000).alias("y"))
+
+
+@query(sql("select id, least(pop * 10, 32767)::bigint as value from pop", "pop"))
+def saturate(spark, sf):
+    return X.pop_cells(spark, sf).select("id", C.saturate_short(c("pop") * 10).alias("value"))
+
+
+@query("select tx, ty from (select t.tx, u.ty from (select unnest(range(0, 6)) as tx) t, (select unnest(range(0, 4)) as ty) u) where (tx + ty) % 3 > 0")
+def tiles_left_to_do(spark, sf):
+    from gridloom.sources.writers import missing_tiles
+
+    plan = spark.range(0, 6).select(c("id").alias("tx"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("ty"))
+    return missing_tiles(plan, plan.where("(tx + ty) % 3 = 0"))
