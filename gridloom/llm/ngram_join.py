@@ -7,13 +7,15 @@ is closed under links. Results are exact up to collisions of 64-bit hashes.
 
 1. A counting sketch of fixed size (COUNTERS numbers) over all texts orders shingles,
    rarest first, ties by hash: any order that all tasks share gives exact results.
-2. Every text gets its size, a 128-bit digest of its set, a parity sketch of 256 bits
-   and its prefix: the first n - ceil(t n) + 1 shingles, one of which two linked sets
-   must share. Equal sets become one class, so copies, however many, are one set.
-3. Prefixes are dealt by shingle, packed. Among the sets of a shingle, those of
-   compatible size whose parity sketches differ in at most (n + m)(1 - t)/(1 + t)
-   bits (no linked pair differs in more) are candidates; a spanning forest of them
-   leaves the task, never all pairs. Its components bound the links.
+2. Every text gets its size, a 128-bit digest of its set and a parity sketch of
+   PARITY bits. Equal sets become one class, so copies, however many, are one set.
+3. Each set's prefix, the first n - ceil(t n) + 1 shingles, one of which two linked
+   sets must share, is dealt by shingle, packed. Only shingles that several sets
+   share go on. Sets of compatible size whose parity sketches differ in at most
+   (n + m)(1 - t)/(1 + t) bits (no linked pair differs in more) are candidates; a
+   spanning forest of them leaves a task, never all pairs. A shingle of very many
+   sets is split by set; leaders of its parts, with the reach of what they stand for,
+   are compared once more. Components of the forests bound the links.
 4. Candidate components are cut into blocks of bounded size. In a block, sets go into
    a prefix tree over the global order; a probe walks it with its overlap so far,
    skips subtrees that cannot reach the overlap they need, and links at the ends. Each
@@ -42,8 +44,13 @@ from gridloom.llm._spark import schema_of, slots, stage
 from gridloom.operators.components import connected_components
 
 COUNTERS = 1 << 20
-BLOCK = 512
+BLOCK = 128
 POSTED = 1_000_000
+PARITY = 1024
+SPLIT = 256
+BROADCAST_ROWS = 300_000
+POSTING = np.dtype([("token", "<u8"), ("id", "<i8")])
+GROUPED = np.dtype([("token", "<u8"), ("id", "<i8"), ("sub", "<i4")])
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -106,119 +113,200 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-_SIGNED = "n int, h1 long, h2 long, parity binary, prefix binary"
-
-
-def _signatures(batch_text: pa.Array, sketch: np.ndarray, k: int, percent: int) -> list[pa.Array]:
-    n_all, h1, h2, parity, prefix = [], [], [], [], []
-    for _, hashed, at in shingle_sets(batch_text, k):
-        size = np.diff(at)
-        n_all.append(size)
-        owner = R.owners(at)
-        full = np.flatnonzero(size)
-        for salt, out in ((0x51, h1), (0xA7, h2)):
-            total = np.zeros(len(size), np.uint64)
-            if len(full):
-                total[full] = np.add.reduceat(R.mix(hashed ^ R.mix(np.array([salt], np.uint64))), at[:-1][full])
-            out.append(total.view(np.int64))
-        bits = np.zeros((len(size), 256), np.uint8)
-        flat = np.bincount(owner * 256 + (R.mix(hashed + np.uint64(77)) >> np.uint64(56)).astype(np.int64), minlength=len(size) * 256)
-        bits[:] = (flat & 1).astype(np.uint8).reshape(len(size), 256)
-        packed = np.packbits(bits, axis=1)
-        rank = (sketch[counter(hashed)].astype(np.uint64) << np.uint64(32)) | (hashed & np.uint64(0xFFFFFFFF))
-        for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-            parity.append(packed[i].tobytes())
-            n = b - a
-            if n:
-                length = n - needed(n, percent) + 1
-                own = rank[a:b]
-                first = np.argpartition(own, length - 1)[:length] if length < n else np.arange(n)
-                if length < n:  # ties on the low half of the hash are taken whole
-                    first = np.flatnonzero(own <= own[first].max())
-                prefix.append(hashed[a:b][first].tobytes())
-            else:
-                prefix.append(b"")
-    join = lambda x, t: pa.array(np.concatenate(x) if x else np.empty(0, np.int64), t)
-    return [join([x.astype(np.int32) for x in n_all], pa.int32()), join(h1, pa.int64()), join(h2, pa.int64()), pa.array(parity, pa.binary()), pa.array(prefix, pa.binary())]
-
-
-def _postings(reps: DataFrame, parts: int) -> DataFrame:
-    """part, rows: (shingle, id, n, parity) of the prefixes, packed by hash range of the shingle."""
-    kind = np.dtype([("token", "<u8"), ("id", "<i8"), ("n", "<i4"), ("parity", "<u8", 4)])
+def digests(hashed: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums over each set."""
+    size = np.diff(at)
+    full = np.flatnonzero(size)
+    out = []
+    for salt in (0x51, 0xA7):
+        total = np.zeros(len(size), np.uint64)
+        if len(full):
+            total[full] = np.add.reduceat(R.mix(hashed ^ R.mix(np.array([salt], np.uint64))), at[:-1][full])
+        out.append(total.view(np.int64))
+    return out
+
+
+def parity(hashed: np.ndarray) -> bytes:
+    bit = (R.mix(hashed + np.uint64(77)) >> np.uint64(32)).astype(np.int64) % PARITY
+    return np.packbits((np.bincount(bit, minlength=PARITY) & 1).astype(np.uint8)).tobytes()
+
+
+def part_of(token: np.ndarray, parts: int) -> np.ndarray:
+    return ((token >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+
+
+_SIGNED = "id long, n int, h1 long, h2 long, parity binary"
+
+
+def _signatures(texts: DataFrame, k: int) -> DataFrame:
+    """id, n, h1, h2 of each text; parity where the task meets the set for the first time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            n, h1, h2, bits = [], [], [], []
+            for _, hashed, at in shingle_sets(batch.column(1), k):
+                one, two = digests(hashed, at)
+                n.append(np.diff(at))
+                h1.append(one)
+                h2.append(two)
+                for name, a, b in zip(one.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    fresh = a < b and name not in seen
+                    seen.add(name)
+                    bits.append(parity(hashed[a:b]) if fresh else None)
+            join = lambda x, t: pa.array(np.concatenate(x).astype(t) if x else np.empty(0, t))
+            yield pa.RecordBatch.from_arrays([batch.column(0), join(n, np.int32), join(h1, np.int64), join(h2, np.int64), pa.array(bits, pa.binary())], ["id", "n", "h1", "h2", "parity"])
+
+    return texts.mapInArrow(run, schema_of(_SIGNED))
+
+
+def _postings(texts: DataFrame, shared, k: int, percent: int, parts: int) -> DataFrame:
+    """part, rows: (shingle, set) of the prefixes of the sets that a task meets, packed by hash range of the shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = shared.value
+        seen: set[int] = set()
         held: list[np.ndarray] = []
         count = 0
 
         def made() -> pa.RecordBatch:
             rows = np.concatenate(held)
-            part = ((rows["token"] >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+            part = part_of(rows["token"], parts)
             order = np.argsort(part, kind="stable")
             rows, cut = rows[order], np.searchsorted(part[order], np.arange(parts + 1)).tolist()
             own = [p for p in range(parts) if cut[p] < cut[p + 1]]
             return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([rows[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary())], ["part", "rows"])
 
         for batch in batches:
-            prefixes = batch.column(3).to_pylist()
-            size = np.array([len(p) // 8 for p in prefixes], np.int64)
-            rows = np.empty(int(size.sum()), kind)
-            rows["token"] = np.frombuffer(b"".join(prefixes), "<u8")
-            rows["id"] = np.repeat(batch.column(0).to_numpy(), size)
-            rows["n"] = np.repeat(batch.column(1).to_numpy(), size)
-            rows["parity"] = np.repeat(np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u8").reshape(-1, 4), size, axis=0)
-            held.append(rows)
-            count += len(rows)
-            if count >= POSTED:
-                yield made()
-                held, count = [], 0
+            for _, hashed, at in shingle_sets(batch.column(0), k):
+                names = digests(hashed, at)[0].tolist()
+                rank = (sketch[counter(hashed)].astype(np.uint64) << np.uint64(32)) | (hashed & np.uint64(0xFFFFFFFF))
+                for name, a, b in zip(names, at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    n = b - a
+                    if not n or name in seen:
+                        continue
+                    seen.add(name)
+                    own, length = rank[a:b], n - needed(n, percent) + 1
+                    tokens = hashed[a:b]
+                    if length < n:  # equal ranks are taken whole
+                        tokens = tokens[own <= np.partition(own, length - 1)[length - 1]]
+                    rows = np.empty(len(tokens), POSTING)
+                    rows["token"], rows["id"] = tokens, name
+                    held.append(rows)
+                    count += len(rows)
+                if count >= POSTED:
+                    yield made()
+                    held, count = [], 0
         if count:
             yield made()
 
-    return reps.select("id", "n", "parity", "prefix").mapInArrow(run, "part int, rows binary")
+    return texts.select("text").mapInArrow(run, schema_of("part int, rows binary"))
+
+
+def _shared_only(parts: int):
+    """Of a part's postings those of shingles that several sets share; very large ones split by set over other parts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = np.unique(np.concatenate([np.frombuffer(r.as_py(), POSTING) for r in table.column("rows")]))
+        first = np.flatnonzero(np.concatenate(([True], rows["token"][1:] != rows["token"][:-1])))
+        size = np.diff(np.append(first, len(rows)))
+        several = np.repeat(size > 1, size)
+        out = np.empty(int(several.sum()), GROUPED)
+        out["token"], out["id"] = rows["token"][several], rows["id"][several]
+        group = np.repeat(size, size)[several]
+        ways = -(-group // SPLIT)
+        spread = R.mix(out["id"].view(np.uint64)) % ways.astype(np.uint64)
+        out["sub"] = np.where(ways > 1, spread.astype(np.int64) + 1, 0)
+        part = part_of(out["token"], parts)
+        part = np.where(out["sub"] > 0, (R.mix(out["token"] + out["sub"].astype(np.uint64)) % np.uint64(parts)).astype(np.int64), part)
+        order = np.argsort(part, kind="stable")
+        out, part = out[order], part[order]
+        own = np.unique(part)
+        cut = np.append(np.searchsorted(part, own), len(part)).tolist()
+        return pa.table({"part": pa.array(own.astype(np.int32)), "rows": pa.array([out[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
+
+    return run
+
+
+def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """part, id: the sets whose sketches a part needs."""
+    for batch in batches:
+        ids = [np.unique(np.frombuffer(r, GROUPED)["id"]) for r in batch.column(1).to_pylist()]
+        part = np.repeat(batch.column(0).to_numpy(), [len(i) for i in ids])
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int64))], ["part", "id"])
 
 
-def _compatible(n, parity, m, others, percent: int) -> np.ndarray:
-    """Whether sets of n and m shingles may link, by size and by parity sketches."""
-    differ = np.bitwise_count(parity ^ others).sum(axis=-1, dtype=np.int64)
-    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (np.asarray(n, np.int64) + m))
+def _reach(lo, hi, radius, bits, los, his, radii, others, percent: int) -> np.ndarray:
+    """Whether some set of sizes lo to hi within radius of one sketch may link to some set around each of the others."""
+    differ = np.bitwise_count(bits ^ others).sum(axis=-1, dtype=np.int64) - radius - radii
+    return (100 * np.minimum(hi, his) >= percent * np.maximum(lo, los)) & ((100 + percent) * differ <= (100 - percent) * (np.asarray(hi, np.int64) + his))
+
+
+def _grow(ids, lo, hi, radius, bits, percent: int) -> list[list[int]]:
+    """Components under ``_reach`` as lists of places, the first reached from; tight ones take one comparison a set."""
+    out, left = [], np.arange(len(ids))
+    while len(left):
+        members = [int(left[0])]
+        left, i = left[1:], 0
+        while i < len(members) and len(left):
+            x = members[i]
+            fits = _reach(lo[x], hi[x], radius[x], bits[x], lo[left], hi[left], radius[left], bits[left], percent)
+            members += left[fits].tolist()
+            left = left[~fits]
+            i += 1
+        out.append(members)
+    return out
+
+
+_FOREST = "kind int, src long, dst long, token long, lo int, hi int, radius int, parity binary"
 
 
 def _forest(percent: int):
-    kind = np.dtype([("token", "<u8"), ("id", "<i8"), ("n", "<i4"), ("parity", "<u8", 4)])
+    """Edges (kind 0) of a spanning forest of each shingle's candidates; for parts of split shingles leaders (kind 1)."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        columns: list[list] = [[] for _ in range(8)]
+        if left.num_rows and right.num_rows:
+            rows = np.unique(np.concatenate([np.frombuffer(r.as_py(), GROUPED) for r in left.column("rows")]))
+            ids, first = np.unique(right.column("id").to_numpy(), return_index=True)
+            n_of = right.column("n").to_numpy()[first].astype(np.int64)
+            bits_of = np.frombuffer(b"".join(right.column("parity").take(pa.array(first)).to_pylist()), "<u8").reshape(-1, PARITY // 64)
+            rows = rows[np.lexsort((rows["id"], rows["sub"], rows["token"]))]
+            place = np.searchsorted(ids, rows["id"])
+            start = np.flatnonzero(np.concatenate(([True], (rows["token"][1:] != rows["token"][:-1]) | (rows["sub"][1:] != rows["sub"][:-1]))))
+            seen: set[bytes] = set()
+            for a, b in zip(start.tolist(), np.append(start[1:], len(rows)).tolist(), strict=True):
+                own, sub = place[a:b], rows["sub"][a]
+                if not sub and (name := own.tobytes()) in seen:
+                    continue
+                if not sub:
+                    seen.add(name)
+                n, bits = n_of[own], bits_of[own]
+                for members in _grow(own, n, n, np.zeros(len(own), np.int64), bits, percent):
+                    leader = members[0]
+                    columns[0] += [0] * (len(members) - 1)
+                    columns[1] += [int(ids[own[leader]])] * (len(members) - 1)
+                    columns[2] += ids[own[members[1:]]].tolist()
+                    for c in columns[3:]:
+                        c += [None] * (len(members) - 1)
+                    if sub:
+                        radius = int(np.bitwise_count(bits[leader] ^ bits[members]).sum(axis=-1).max())
+                        for c, v in zip(columns, (1, int(ids[own[leader]]), None, int(rows["token"][a].view(np.int64)), int(n[members].min()), int(n[members].max()), radius, bits[leader].tobytes()), strict=True):
+                            c.append(v)
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["kind", "src", "dst", "token", "lo", "hi", "radius", "parity"])
+
+    return run
+
+
+def _leaders(percent: int):
+    """Edges between the leaders of a split shingle's parts whose sets may link."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(r.as_py(), kind) for r in table.column("rows")])
-        rows = rows[np.lexsort((rows["id"], rows["token"]))]
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["id"][1:] != rows["id"][:-1])
-        rows = rows[new]
-        first = np.flatnonzero(np.concatenate(([True], rows["token"][1:] != rows["token"][:-1])))
-        size = np.diff(np.append(first, len(rows)))
-        src, dst = [], []
-        two = first[size == 2]
-        fits = _compatible(rows["n"][two], rows["parity"][two], rows["n"][two + 1], rows["parity"][two + 1], percent)
-        src.append(rows["id"][two[fits]])
-        dst.append(rows["id"][two[fits] + 1])
-        seen: set[bytes] = set()
-        for a, g in zip(first[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            group = rows[a : a + g]
-            if (name := group["id"].tobytes()) in seen:
-                continue
-            seen.add(name)
-            left = np.arange(g)
-            while len(left) > 1:  # a component each: reach out from what has been reached, among what has not
-                reached, left = [int(left[0])], left[1:]
-                while reached and len(left):
-                    x = group[reached.pop()]
-                    fits = _compatible(x["n"], x["parity"], group["n"][left], group["parity"][left], percent)
-                    if fits.any():
-                        found = left[fits]
-                        src.append(np.full(len(found), x["id"], np.int64))
-                        dst.append(group["id"][found])
-                        reached += found.tolist()
-                        left = left[~fits]
-        pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], axis=1), axis=0)
-        return pa.table({"src": pa.array(pairs[:, 0]), "dst": pa.array(pairs[:, 1])})
+        ids, lo, hi, radius = (table.column(c).to_numpy().astype(np.int64) for c in ("src", "lo", "hi", "radius"))
+        bits = np.frombuffer(b"".join(table.column("parity").to_pylist()), "<u8").reshape(-1, PARITY // 64)
+        pairs = [(int(ids[m[0]]), int(ids[j])) for m in _grow(ids, lo, hi, radius, bits, percent) for j in m[1:]]
+        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in range(2)], names=["src", "dst"])
 
     return run
 
@@ -307,13 +395,13 @@ def ordered_sets(texts: pa.Array, sketch: np.ndarray, k: int) -> tuple[list[np.n
     return [np.sort(numbers[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], len(values)
 
 
-def link_block(sets: list[np.ndarray], universe: int, percent: int) -> tuple[list[tuple[int, int]], list[int]]:
-    """(links that join up every component among the sets, the leader of each set: itself, or a set it links to)."""
+def link_block(sets: list[np.ndarray], universe: int, percent: int, pivot: int = -1) -> tuple[list[tuple[int, int]], list[int]]:
+    """(links that join up every component among the sets, the leader of each set: itself, or a set it links to). The pivot leads before all others."""
     union, links, leader = Union(len(sets)), [], list(range(len(sets)))
     leaders, others = PrefixTree(percent), PrefixTree(percent)
     roots_of_others: set[int] = set()
     within = np.zeros(universe, bool)
-    for i in sorted(range(len(sets)), key=lambda j: (len(sets[j]), j)):
+    for i in sorted(range(len(sets)), key=lambda j: (j != pivot, len(sets[j]), j)):
         x = sets[i]
         if not len(x):
             continue
@@ -355,15 +443,19 @@ def join_sets(left: list[np.ndarray], right: list[np.ndarray], universe: int, pe
 
 def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
     """src, dst: links that join up the components of members (id, text, comp), whose comp bounds the links."""
-    spark = members.sparkSession
-    sizes = stage(members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "sizes")
-    held = stage(members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "members")
+    at_once = 2 * slots(members.sparkSession)
+    sizes = stage(members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.max(F.struct("degree", "id"))["id"].alias("pivot")), "sizes")
+    held = stage(members.drop("degree").join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "members")
+    # the set that most candidates were reached from joins every block of its component
+    guests = held.where("id = pivot and blocks > 1").withColumn("own", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).where("block <> own").drop("own")
+    dealt = held.unionByName(guests).repartition(at_once, "comp", "block")
     keep = schema_of("id long, leader long, root long, comp long, blocks long, text string")
 
     def local(table: pa.Table) -> pa.Table:
         ids, texts = table.column("id").to_pylist(), table.column("text").combine_chunks()
         sets, universe = ordered_sets(texts, sketch, k)
-        links, leader = link_block(sets, universe, percent)
+        pivot = table.column("pivot")[0].as_py()
+        links, leader = link_block(sets, universe, percent, ids.index(pivot) if pivot in ids else -1)
         union = Union(len(ids))
         for a, b in links:
             union.join(a, b)
@@ -371,17 +463,17 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
         names = texts.to_pylist() if many else [None] * len(ids)
         return pa.table([pa.array(ids, pa.int64()), pa.array([ids[j] for j in leader], pa.int64()), pa.array([ids[union.find(i)] for i in range(len(ids))], pa.int64()), table.column("comp").cast(pa.int64()), table.column("blocks").cast(pa.int64()), pa.array([t if leader[i] == i else None for i, t in enumerate(names)], pa.string())], names=keep.fieldNames())
 
-    done = stage(held.groupBy("comp", "block").applyInArrow(local, keep), "blocks")
+    done = stage(dealt.groupBy("comp", "block").applyInArrow(local, keep), "blocks")
     links = done.where("id <> root").select(F.col("root").alias("src"), F.col("id").alias("dst"))
     far = 100 - 3 * (100 - percent)
-    leaders = done.where("id = leader and blocks > 1")
+    leaders = done.where("id = leader and blocks > 1").dropDuplicates(["comp", "id"])
     if not leaders.limit(1).count():
         return links
 
     # leaders of different blocks of one component, block by block
     fewer = leaders.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     parted = leaders.select("comp", "id", "text").join(fewer, "comp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    dealt = parted.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).select("comp", "id", "text", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
+    paired = parted.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).select("comp", "id", "text", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).repartition(at_once, "comp", "a", "b")
     near = "src long, dst long, linked boolean"
 
     def between(table: pa.Table) -> pa.Table:
@@ -392,7 +484,7 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
         found = [(ids[left[i]], ids[right[j]], 100 * o >= percent * u) for i, j, o, u in join_sets([sets[i] for i in left], [sets[j] for j in right], universe, max(far, 1)) if ids[left[i]] < ids[right[j]] or (a != b)]
         return pa.table([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["src", "dst", "linked"])
 
-    pairs = stage(dealt.groupBy("comp", "a", "b").applyInArrow(between, near), "leaders")
+    pairs = stage(paired.groupBy("comp", "a", "b").applyInArrow(between, near), "leaders")
     links = links.unionByName(pairs.where("linked").select("src", "dst"))
     label = stage(connected_components(links), "labels")
     open_pairs = pairs.where("not linked")
@@ -403,8 +495,8 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
     if not open_pairs.limit(1).count():
         return links
     sided = open_pairs.select("src", "dst", F.explode(F.array(F.struct(F.col("src").alias("leader"), F.lit(0).alias("side")), F.struct(F.col("dst").alias("leader"), F.lit(1).alias("side")))).alias("x")).select("src", "dst", "x.leader", "x.side")
-    texts = held.select("id", "text").join(done.select("id", "leader"), "id")
-    met = sided.join(texts, "leader")
+    texts = held.select("id", "text").join(done.select("id", "leader").distinct(), "id")
+    met = sided.join(texts, "leader").repartition(at_once, "src", "dst")
 
     def across(table: pa.Table) -> pa.Table:
         ids, side = table.column("id").to_pylist(), table.column("side").to_pylist()
@@ -419,23 +511,26 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
 def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id of every row; component_id is the least id reachable by links. ids are whole numbers; a null id has a null component."""
     spark = docs.sparkSession
+    parts = 2 * slots(spark)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketch = frequency_sketch(narrow.select("text"), k)
-    shared = spark.sparkContext.broadcast(sketch)  # COUNTERS numbers, whatever the input
-    schema = T.StructType([T.StructField("id", T.LongType()), *schema_of(_SIGNED).fields])
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_signatures(batch.column(1), shared.value, k, percent)], schema.fieldNames())
-
-    rows = stage(narrow.mapInArrow(signed, schema), "sets")
+    order = spark.sparkContext.broadcast(sketch)  # COUNTERS numbers, whatever the input
+    rows = stage(_signatures(narrow, k), "sets")
     classes = stage(rows.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "classes")
-    reps = rows.join(classes.select("n", "h1", "h2", "rep"), [rows["id"] == classes["rep"], rows["n"] == classes["n"], rows["h1"] == classes["h1"], rows["h2"] == classes["h2"]]).select(rows["id"], rows["n"], "parity", "prefix")
-    edges = stage(_postings(reps, 2 * slots(spark)).groupBy("part").applyInArrow(_forest(percent), "src long, dst long").distinct(), "candidates")
-    candidates = stage(connected_components(edges), "candidate-components")
-    members = narrow.join(candidates, narrow["id"] == candidates["node"]).select("id", "text", F.col("component").alias("comp"))
-    links = _links(members, sketch, k, percent)
-    labels = connected_components(links)
+    shared = stage(_postings(narrow.where("id is not null"), order, k, percent, parts).groupBy("part").applyInArrow(_shared_only(parts), schema_of("part int, rows binary")), "shared")
+    sketches = rows.where("parity is not null").select("h1", "n", "parity").dropDuplicates(["h1"])
+    asked = shared.mapInArrow(_sets_of, schema_of("part int, id long"))
+    told = asked.join(sketches, asked["id"] == sketches["h1"]).select("part", "id", "n", "parity")
+    forest = stage(shared.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_forest(percent), schema_of(_FOREST)), "forest")
+    between = forest.where("kind = 1").groupBy("token").applyInArrow(_leaders(percent), schema_of("src long, dst long"))
+    edges = stage(forest.where("kind = 0").select("src", "dst").unionByName(between).distinct(), "edges")
+    candidates = stage(connected_components(edges), "candidates")
+    degrees = edges.groupBy(F.col("src").alias("h1")).agg(F.count("*").alias("degree"))
+    found = classes.join(candidates, classes["h1"] == candidates["node"]).join(degrees, "h1", "left")
+    chosen = stage(found.select("rep", F.col("component").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree")), "chosen")
+    wanted = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    members = narrow.join(wanted, narrow["id"] == wanted["rep"]).select("id", "text", "comp", "degree")
+    labels = connected_components(_links(members, sketch, k, percent))
     named = stage(classes.join(labels, classes["rep"] == labels["node"], "left").select("n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")), "named")
     return rows.select("id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
