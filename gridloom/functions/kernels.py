@@ -72,15 +72,18 @@ def area_centre(ring: np.ndarray) -> tuple[float, float]:
     return float(((x + x1) * cross).sum() / (3 * cross.sum())), float(((y + y1) * cross).sum() / (3 * cross.sum()))
 
 
-@F.pandas_udf("array<double>")
-def hull_centre(points: pd.Series) -> pd.Series:
-    """Centroid of the convex hull of a point array."""
-    return points.map(lambda v: None if v is None or not len(v) else list(area_centre(hull(_points(v)))))
+def hull_centre(points):
+    """Centroid of the convex hull of a point array column."""
 
+    @F.pandas_udf("array<double>")
+    def run(points: pd.Series) -> pd.Series:
+        return points.map(lambda v: None if v is None or not len(v) else list(area_centre(hull(_points(v)))))
 
-@F.pandas_udf("double")
-def hausdorff(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Largest distance from a point of either array to the nearest of the other."""
+    return run(points)
+
+
+def hausdorff(a, b):
+    """Largest distance from a point of either array column to the nearest of the other."""
 
     def one(p, q):
         if p is None or q is None or not len(p) or not len(q):
@@ -88,4 +91,8 @@ def hausdorff(a: pd.Series, b: pd.Series) -> pd.Series:
         d = np.hypot(*(_points(p)[:, None, :2] - _points(q)[None, :, :2]).transpose(2, 0, 1))
         return float(max(d.min(axis=1).max(), d.min(axis=0).max()))
 
-    return pd.Series([one(p, q) for p, q in zip(a, b, strict=True)], dtype="float64")
+    @F.pandas_udf("double")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([one(p, q) for p, q in zip(a, b, strict=True)], dtype="float64")
+
+    return run(a, b)

@@ -11,34 +11,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridloom.plans.shared import keep
 
 
-def _hang(pairs: DataFrame) -> DataFrame:
-    """(u, v) for each u and neighbour v, with the least node around u (u itself included) as m."""
-    least = keep(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
-    return pairs.join(least, "u")  # both sides are dealt anew here, so a hub's rows can be split
+#: Up to so many rows a node's neighbours may meet in one task (16 bytes each); beyond, they are joined, so that a hub can be split.
+WINDOW_ROWS = 2_000_000
+
+
+def _least_around(pairs: DataFrame, rows: int) -> DataFrame:
+    """pairs (u, v) with m, the least v of u."""
+    if rows <= WINDOW_ROWS:
+        return pairs.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    least = keep(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
+    return pairs.join(least, "u")  # both sides are dealt anew here
+
+
+def _mark(df: DataFrame) -> tuple:
+    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).collect()[0])
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node of an edge; component is its least node. Loops give a node of its own; null ends are left out."""
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    stars = keep(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
+    first = keep(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
+    stars, loops = first.where("u <> v"), first.where("u = v")
+    mark = _mark(stars)
     for _ in range(max_rounds):
-        both = stars.where("u <> v").select("u", "v").unionByName(stars.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = keep(_hang(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
-        # small star: every node above its least neighbour hangs its smaller neighbours and itself there
-        least = keep(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        hung = large.join(least, "u")
-        small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = keep(small, "components")
-        old = stars.where("u <> v")
-        if now.count() == old.count() and now.join(old, ["u", "v"], "left_anti").limit(1).count() == 0:
+        # large star: the neighbours above a node hang under the least around it
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hung = _least_around(both, 2 * mark[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        large = hung if mark[0] <= WINDOW_ROWS else keep(hung, "large")
+        # small star: a node and its neighbours below it hang under the least of them
+        below = _least_around(large, mark[0])
+        small = below.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p")).select("p.u", "p.v")
+        stars = keep(small.where("u <> v").distinct(), "components")
+        before, mark = mark, _mark(stars)
+        if mark == before:
             break
-        loops = stars.where("u = v")
-        stars = now if not loops.limit(1).count() else keep(now.unionByName(loops), "components")
     else:
         raise RuntimeError("components have not settled")
-    proper = stars.where("u <> v")
-    return proper.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+    named = [stars.select(F.col("u").alias("node"), F.col("v").alias("component")), *[df.select(F.col("v").alias("node"), F.col("v").alias("component")) for df in (stars, loops)]]
+    return named[0].unionByName(named[1]).unionByName(named[2]).groupBy("node").agg(F.min("component").alias("component"))

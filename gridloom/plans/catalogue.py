@@ -461,12 +461,12 @@ def graph_edges(spark, sf):
     return X.edges(spark, sf)
 
 
-@query("select case when o = 0 then a else b end as src, case when o = 0 then b else a end as dst, min(w) as w from (select c_custkey, (c_custkey % 30 * 100) || '_' || (c_custkey // 30 % 30 * 100) as a, (c_custkey % 30 * 100 + 100) || '_' || (c_custkey // 30 % 30 * 100) as b, 3.6::double * 100 / (10 + c_custkey % 50) as w from customer), (values (0), (1)) t(o) group by 1, 2")
+@query("select case when o = 0 then a else b end as src, case when o = 0 then b else a end as dst, round(min(w), 6) as w from (select c_custkey, (c_custkey % 30 * 100) || '_' || (c_custkey // 30 % 30 * 100) as a, (c_custkey % 30 * 100 + 100) || '_' || (c_custkey // 30 % 30 * 100) as b, 3.6::double * 100 / (10 + c_custkey % 50) as w from customer), (values (0), (1)) t(o) group by 1, 2")
 def graph_from_sections(spark, sf):
     rows = table(spark, sf, "customer").selectExpr("c_custkey as id", "array(array(double(c_custkey % 30 * 100), double(c_custkey div 30 % 30 * 100)), array(double(c_custkey % 30 * 100 + 100), double(c_custkey div 30 % 30 * 100))) as line", "10 + c_custkey % 50 as kmh")
     w = R.seconds(c("kmh"), F.lit(100.0))
     made, _ = network.build_graph(rows, costs=F.struct(w.alias("forward"), w.alias("backward")))
-    return made.groupBy("src", "dst").agg(F.min("w").alias("w"))
+    return made.groupBy("src", "dst").agg(F.round(F.min("w"), 6).alias("w"))
 
 
 @query(sql("select node, count(*) as degree from (select distinct least(src, dst) as a, greatest(src, dst) as b from edges where src % 7 = 0), unnest([a, b]) t(node) group by 1 having count(*) = 1", "edges"))
