@@ -101,7 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-#: The base figures alone; the verdict of op9 comes from thresholds that its tests hold against brute force.
+#: The other operators are held against brute force, the tokenizers' own libraries or held-out texts by their tests.
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": r"""
         with t as (select doc_id, coalesce(text, '') as text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body from documents),
@@ -109,4 +109,13 @@ ORACLE: dict[str, str] = {
               from t window w as (partition by body order by length(text) desc, doc_id))
         select doc_id, keep_id, group_size, place = 1 as kept, sha256(body) as text_sha256 from r
     """,
+    "op10_chat_format": r"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                   union all select -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok')
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+               cast(sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|(im_start|im_end)\|>'))) as bigint) as formatted_chars
+        from t group by conv_id
+    """,
 }
