@@ -158,7 +158,7 @@ def _merge(old: list, new: list) -> list:
     return old
 
 
-_MARKS = schema_of("sha string, rep long, idx long, first boolean, size long, best_chars long, best_id long, best_idx long")
+_MARKS = schema_of("sha string, rep long, idx long, first boolean, size long, best_chars long, best_id long, best_idx long, n_bytes long")
 
 
 def _chunks(df: DataFrame, id_col: str, text_col: str, marks: list[str]) -> DataFrame:
@@ -185,7 +185,7 @@ def _chunks(df: DataFrame, id_col: str, text_col: str, marks: list[str]) -> Data
                     body = normalised(body)
                     group = groups.get(body)
                     if group is None:
-                        group = groups[body] = [base + groups_made, sha256(body).hexdigest(), 0, None]
+                        group = groups[body] = [base + groups_made, sha256(body).hexdigest(), 0, None, len(body)]
                         groups_made += 1
                     owner = (-chars, doc is None, doc or 0, group[2])
                     group[3] = owner if group[3] is None else min(group[3], owner)
@@ -205,6 +205,7 @@ def _chunks(df: DataFrame, id_col: str, text_col: str, marks: list[str]) -> Data
                     pa.array([None if i else -g[3][0] for g, i in some], pa.int64()),
                     pa.array([None if i or g[3][1] else g[3][2] for g, i in some], pa.int64()),
                     pa.array([None if i else g[3][3] for g, i in some], pa.int64()),
+                    pa.array([None if i else g[4] for g, i in some], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip([*batch.columns, *made], arrow, strict=True)], schema=arrow)
 
@@ -229,11 +230,11 @@ def mark_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     for f in [*_MARKS.fieldNames(), "text_sha256", "keep_id", "group_size", "kept", "slot", "rep2", "keep_rep", "keep_idx"]:
         marks.append(fresh(shadow, f))
         shadow = shadow.withColumn(marks[-1], F.lit(None))
-    sha, rep, idx, first, size, best_chars, best_id, best_idx, out_sha, keep_id, group_size, kept, slot, rep2, keep_rep, keep_idx = marks
+    sha, rep, idx, first, size, best_chars, best_id, best_idx, n_bytes, out_sha, keep_id, group_size, kept, slot, rep2, keep_rep, keep_idx = marks
     spark = docs.sparkSession
-    rows = stage(_chunks(docs, id_col, text_col, marks[:8]), "chunks")
-    texts = rows.where(F.col(first)).select(rep, size, best_chars, best_id, best_idx, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"), F.col(sha).alias("content"))
-    dealt = texts.repartition(slots(spark), F.octet_length("body"), F.xxhash64("content")).drop("content")
+    rows = stage(_chunks(docs, id_col, text_col, marks[:9]), "chunks")
+    texts = rows.where(F.col(first)).select(rep, size, best_chars, best_id, best_idx, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"), F.col(sha).alias("content"), F.col(n_bytes).alias("length"))
+    dealt = texts.repartition(slots(spark), "length", F.xxhash64("content")).drop("length", "content")
     owned = schema_of(f"{rep2} long, n_slots long, {keep_id} long, {keep_rep} long, {keep_idx} long, {group_size} long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,15 @@ def test_copies_equal_brute_force(odd, odd_rows, monkeypatch):
     assert found == brute_copies(odd_rows)
 
 
+def test_copies_in_many_tasks(spark, odd_rows):
+    """Copies that differ in white space meet wherever their tasks put them."""
+    rows = [*odd_rows, *[(5000 + i, odd_rows[i % 20][1].replace(" ", " " * (1 + i % 3)) + "\n" * (i % 4), "en", "s0", 1) for i in range(120)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(40)
+    marked, _ = mark_copies(docs.select("doc_id", "text"))
+    found = Counter(map(tuple, marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()))
+    assert found == brute_copies(rows)
+
+
 def test_copies_beside_clashing_columns(clashing, odd_rows, none):
     marked, names = mark_copies(clashing)
     assert names == ["_text_sha256", "_keep_id", "_group_size", "_kept"]
