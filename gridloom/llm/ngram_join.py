@@ -20,9 +20,9 @@ is closed under links. Results are exact up to collisions of 64-bit hashes.
    a prefix tree over the global order; a probe walks it with its overlap so far,
    skips subtrees that cannot reach the overlap they need, and links at the ends. Each
    set ends linked to a leader. Between blocks, leaders are joined block by block;
-   leaders further apart than three times the distance have no links between their
-   sets (the Jaccard distance is a metric), nearer ones that are not yet connected
-   have their sets joined.
+   leaders further apart than the distance once for themselves and once for each that
+   leads others have no links between their sets (the Jaccard distance is a metric);
+   nearer ones that are not yet connected have their sets joined.
 
 Null text is empty. Ids are meant to be distinct; rows that share one are judged each
 by its own set. Columns
@@ -449,7 +449,7 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
     # the set that most candidates were reached from joins every block of its component
     guests = held.where("id = pivot and blocks > 1").withColumn("own", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).where("block <> own").drop("own")
     dealt = held.unionByName(guests).repartition(at_once, "comp", "block")
-    keep = schema_of("id long, leader long, root long, comp long, blocks long, text string")
+    keep = schema_of("id long, leader long, root long, comp long, blocks long, text string, more boolean")
 
     def local(table: pa.Table) -> pa.Table:
         ids, texts = table.column("id").to_pylist(), table.column("text").combine_chunks()
@@ -460,28 +460,36 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
         for a, b in links:
             union.join(a, b)
         many = table.column("blocks")[0].as_py() > 1
+        led = {j for i, j in enumerate(leader) if i != j}  # leaders of others than themselves
         names = texts.to_pylist() if many else [None] * len(ids)
-        return pa.table([pa.array(ids, pa.int64()), pa.array([ids[j] for j in leader], pa.int64()), pa.array([ids[union.find(i)] for i in range(len(ids))], pa.int64()), table.column("comp").cast(pa.int64()), table.column("blocks").cast(pa.int64()), pa.array([t if leader[i] == i else None for i, t in enumerate(names)], pa.string())], names=keep.fieldNames())
+        return pa.table([pa.array(ids, pa.int64()), pa.array([ids[j] for j in leader], pa.int64()), pa.array([ids[union.find(i)] for i in range(len(ids))], pa.int64()), table.column("comp").cast(pa.int64()), table.column("blocks").cast(pa.int64()), pa.array([t if leader[i] == i else None for i, t in enumerate(names)], pa.string()), pa.array([i in led for i in range(len(ids))])], names=keep.fieldNames())
 
     done = stage(dealt.groupBy("comp", "block").applyInArrow(local, keep), "blocks")
     links = done.where("id <> root").select(F.col("root").alias("src"), F.col("id").alias("dst"))
     far = 100 - 3 * (100 - percent)
-    leaders = done.where("id = leader and blocks > 1").dropDuplicates(["comp", "id"])
+    leaders = done.where("id = leader and blocks > 1").drop("more").dropDuplicates(["comp", "id"])
+    leading = done.where("more and blocks > 1").select("id", F.lit(1).alias("more")).distinct()
+    leaders = leaders.join(leading, "id", "left").withColumn("more", F.coalesce("more", F.lit(0)))
     if not leaders.limit(1).count():
         return links
 
     # leaders of different blocks of one component, block by block
     fewer = leaders.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    parted = leaders.select("comp", "id", "text").join(fewer, "comp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    paired = parted.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).select("comp", "id", "text", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).repartition(at_once, "comp", "a", "b")
+    parted = leaders.select("comp", "id", "more", "text").join(fewer, "comp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    paired = parted.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).select("comp", "id", "more", "text", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).repartition(at_once, "comp", "a", "b")
     near = "src long, dst long, linked boolean"
 
     def between(table: pa.Table) -> pa.Table:
-        ids, part = table.column("id").to_pylist(), table.column("part").to_pylist()
+        ids, part, more = (table.column(c).to_pylist() for c in ("id", "part", "more"))
         sets, universe = ordered_sets(table.column("text").combine_chunks(), sketch, k)
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
         left, right = [i for i, p in enumerate(part) if p == a], [i for i, p in enumerate(part) if p == b]
-        found = [(ids[left[i]], ids[right[j]], 100 * o >= percent * u) for i, j, o, u in join_sets([sets[i] for i in left], [sets[j] for j in right], universe, max(far, 1)) if ids[left[i]] < ids[right[j]] or (a != b)]
+        found = []
+        for i, j, o, u in join_sets([sets[i] for i in left], [sets[j] for j in right], universe, max(far, 1)):
+            i, j = left[i], right[j]
+            # a leader of none but itself reaches no further than itself
+            if (a != b or ids[i] < ids[j]) and 100 * o >= (100 - (100 - percent) * (1 + more[i] + more[j])) * u:
+                found.append((ids[i], ids[j], 100 * o >= percent * u))
         return pa.table([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["src", "dst", "linked"])
 
     pairs = stage(paired.groupBy("comp", "a", "b").applyInArrow(between, near), "leaders")
