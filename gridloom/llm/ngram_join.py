@@ -7,8 +7,9 @@ is closed under links. Results are exact up to collisions of 64-bit hashes.
 
 1. A counting sketch of fixed size (COUNTERS numbers) over all texts orders shingles,
    rarest first, ties by hash: any order that all tasks share gives exact results.
-2. Every text gets its size, a 128-bit digest of its set and a parity sketch of
-   PARITY bits. Equal sets become one class, so copies, however many, are one set.
+2. Every text gets its size, a 128-bit digest of its set and a parity sketch of at
+   least two bits a shingle (a power of two, so that sketches fold to the narrower
+   width). Equal sets become one class, so copies, however many, are one set.
 3. Each set's prefix, the first n - ceil(t n) + 1 shingles, one of which two linked
    sets must share, is dealt by shingle, packed. Only shingles that several sets
    share go on. Sets of compatible size whose parity sketches differ in at most
@@ -46,7 +47,7 @@ from gridloom.operators.components import connected_components
 COUNTERS = 1 << 20
 BLOCK = 128
 POSTED = 1_000_000
-PARITY = 1024
+PARITY = 512
 SPLIT = 256
 BROADCAST_ROWS = 300_000
 POSTING = np.dtype([("token", "<u8"), ("id", "<i8")])
@@ -127,8 +128,33 @@ def digests(hashed: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 
 
 def parity(hashed: np.ndarray) -> bytes:
-    bit = (R.mix(hashed + np.uint64(77)) >> np.uint64(32)).astype(np.int64) % PARITY
-    return np.packbits((np.bincount(bit, minlength=PARITY) & 1).astype(np.uint8)).tobytes()
+    """Bit i: whether an odd number of shingles have hash i modulo the width."""
+    width = max(PARITY, 1 << (2 * len(hashed) - 1).bit_length())
+    bit = (R.mix(hashed + np.uint64(77)) >> np.uint64(32)).astype(np.int64) % width
+    return np.packbits((np.bincount(bit, minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+class Sketches:
+    """Parity sketches of several widths."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.words = [np.frombuffer(s, "<u8") for s in sketches]
+        self.width = np.array([len(w) for w in self.words], np.int64)
+
+    def folded(self, i: int, width: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(self.words[i].reshape(-1, width), axis=0)
+
+    def differ(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Bits in which sketch i differs from each of the others, at the narrower width of the two."""
+        out = np.empty(len(others), np.int64)
+        for w in np.unique(self.width[others]).tolist():
+            own = np.flatnonzero(self.width[others] == w)
+            width = min(w, int(self.width[i]))
+            table = np.stack([self.words[j] for j in others[own].tolist()])
+            if width < w:
+                table = np.bitwise_xor.reduce(table.reshape(len(own), -1, width), axis=1)
+            out[own] = np.bitwise_count(self.folded(i, width) ^ table).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def part_of(token: np.ndarray, parts: int) -> np.ndarray:
@@ -236,21 +262,23 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int64))], ["part", "id"])
 
 
-def _reach(lo, hi, radius, bits, los, his, radii, others, percent: int) -> np.ndarray:
-    """Whether some set of sizes lo to hi within radius of one sketch may link to some set around each of the others."""
-    differ = np.bitwise_count(bits ^ others).sum(axis=-1, dtype=np.int64) - radius - radii
-    return (100 * np.minimum(hi, his) >= percent * np.maximum(lo, los)) & ((100 + percent) * differ <= (100 - percent) * (np.asarray(hi, np.int64) + his))
-
+def _grow(lo, hi, radius, sketches: Sketches, percent: int) -> list[list[int]]:
+    """Components of sets that may link, as lists of places, the first reached from.
 
-def _grow(ids, lo, hi, radius, bits, percent: int) -> list[list[int]]:
-    """Components under ``_reach`` as lists of places, the first reached from; tight ones take one comparison a set."""
-    out, left = [], np.arange(len(ids))
+    A place stands for sets of lo to hi shingles whose sketches lie within the radius of its own. Tight components
+    take one comparison a set.
+    """
+    out, left = [], np.arange(len(lo))
     while len(left):
         members = [int(left[0])]
         left, i = left[1:], 0
         while i < len(members) and len(left):
             x = members[i]
-            fits = _reach(lo[x], hi[x], radius[x], bits[x], lo[left], hi[left], radius[left], bits[left], percent)
+            fits = 100 * np.minimum(hi[x], hi[left]) >= percent * np.maximum(lo[x], lo[left])
+            near = left[fits]
+            if len(near):
+                differ = sketches.differ(x, near) - radius[x] - radius[near]
+                fits[fits] = (100 + percent) * differ <= (100 - percent) * (hi[x] + hi[near])
             members += left[fits].tolist()
             left = left[~fits]
             i += 1
@@ -270,7 +298,7 @@ def _forest(percent: int):
             rows = np.unique(np.concatenate([np.frombuffer(r.as_py(), GROUPED) for r in left.column("rows")]))
             ids, first = np.unique(right.column("id").to_numpy(), return_index=True)
             n_of = right.column("n").to_numpy()[first].astype(np.int64)
-            bits_of = np.frombuffer(b"".join(right.column("parity").take(pa.array(first)).to_pylist()), "<u8").reshape(-1, PARITY // 64)
+            bits_of = right.column("parity").take(pa.array(first)).to_pylist()
             rows = rows[np.lexsort((rows["id"], rows["sub"], rows["token"]))]
             place = np.searchsorted(ids, rows["id"])
             start = np.flatnonzero(np.concatenate(([True], (rows["token"][1:] != rows["token"][:-1]) | (rows["sub"][1:] != rows["sub"][:-1]))))
@@ -281,8 +309,8 @@ def _forest(percent: int):
                     continue
                 if not sub:
                     seen.add(name)
-                n, bits = n_of[own], bits_of[own]
-                for members in _grow(own, n, n, np.zeros(len(own), np.int64), bits, percent):
+                n, sketches = n_of[own], Sketches([bits_of[j] for j in own.tolist()])
+                for members in _grow(n, n, np.zeros(len(own), np.int64), sketches, percent):
                     leader = members[0]
                     columns[0] += [0] * (len(members) - 1)
                     columns[1] += [int(ids[own[leader]])] * (len(members) - 1)
@@ -290,8 +318,9 @@ def _forest(percent: int):
                     for c in columns[3:]:
                         c += [None] * (len(members) - 1)
                     if sub:
-                        radius = int(np.bitwise_count(bits[leader] ^ bits[members]).sum(axis=-1).max())
-                        for c, v in zip(columns, (1, int(ids[own[leader]]), None, int(rows["token"][a].view(np.int64)), int(n[members].min()), int(n[members].max()), radius, bits[leader].tobytes()), strict=True):
+                        radius = int(sketches.differ(leader, np.array(members)).max())
+                        narrowest = int(sketches.width[members].min())  # at this width the radius holds for every member
+                        for c, v in zip(columns, (1, int(ids[own[leader]]), None, int(rows["token"][a].view(np.int64)), int(n[members].min()), int(n[members].max()), radius, sketches.folded(leader, narrowest).tobytes()), strict=True):
                             c.append(v)
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["kind", "src", "dst", "token", "lo", "hi", "radius", "parity"])
@@ -304,8 +333,8 @@ def _leaders(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         ids, lo, hi, radius = (table.column(c).to_numpy().astype(np.int64) for c in ("src", "lo", "hi", "radius"))
-        bits = np.frombuffer(b"".join(table.column("parity").to_pylist()), "<u8").reshape(-1, PARITY // 64)
-        pairs = [(int(ids[m[0]]), int(ids[j])) for m in _grow(ids, lo, hi, radius, bits, percent) for j in m[1:]]
+        sketches = Sketches(table.column("parity").to_pylist())
+        pairs = [(int(ids[m[0]]), int(ids[j])) for m in _grow(lo, hi, radius, sketches, percent) for j in m[1:]]
         return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in range(2)], names=["src", "dst"])
 
     return run
