@@ -119,6 +119,27 @@ def test_components_over_many_blocks(spark, monkeypatch):
     assert found == brute_components(rows, 3, 80)
 
 
+def test_components_when_shingles_and_blocks_are_split(spark, monkeypatch):
+    """Near copies of texts of several lengths: sketches of several widths, split shingles, many blocks."""
+    monkeypatch.setattr(ngram_join, "SPLIT", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 6)
+    rng = random.Random(5)
+    bank = [f"w{i}" for i in range(300)]
+    rows = []
+    for _ in range(3):
+        base = [rng.choice(bank) for _ in range(rng.choice([130, 260, 520]))]
+        for _ in range(40):
+            text = list(base)
+            for _ in range(rng.randint(0, 5)):
+                text[rng.randrange(len(text))] = rng.choice(bank)
+            if rng.random() < 0.3:
+                text = text[: rng.randint(int(0.93 * len(text)), len(text))]
+            rows.append((len(rows), " ".join(text), None, None, None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = Counter(map(tuple, ngram_join.components_of(docs, k=3, percent=90).collect()))
+    assert found == brute_components(rows, 3, 90)
+
+
 def test_components_of_odd_rows(odd, odd_rows, none, clashing):
     rows = [r for r in odd_rows if r[0] is not None]
     found = Counter(map(tuple, ngram_join.components_of(odd.where("doc_id is not null"), k=3, percent=90).collect()))
