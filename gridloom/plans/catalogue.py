@@ -477,18 +477,14 @@ def graph_degree_one(spark, sf):
 _COMPONENTS = "e as (select src as u, dst as v from edges where (src * 7 + dst) % 11 = 0), ee as (select u, v from e union select v, u from e), r(node, component) using key (node) as (select distinct u, u from ee union select ee.v, min(r.component) from r join ee on ee.u = r.node left join recurring.r k on k.node = ee.v where r.component < k.component group by 1)"
 
 
-def _sparse(spark, sf):
-    return X.edges(spark, sf).where("(src * 7 + dst) % 11 = 0")
-
-
 @query(sql(_COMPONENTS + " select node, component from r", "edges", recursive=True))
 def graph_components(spark, sf):
-    return connected_components(_sparse(spark, sf))
+    return connected_components(X.edges(spark, sf))
 
 
 @query(sql(_COMPONENTS + " select e.u as src, e.v as dst from e join r on r.node = e.u where component in (select component from r group by 1 having count(*) >= 5)", "edges", recursive=True))
 def small_component_prune(spark, sf):
-    return network.prune_small_components(_sparse(spark, sf), 5).select("src", "dst")
+    return network.prune_small_components(X.edges(spark, sf), 5).select("src", "dst")
 
 
 _LABELS = "sp(node, source, cost) using key (node, source) as (select node, node, 0::bigint from sources union select dst, source, min(nc) from (select e.dst, sp.source, sp.cost + e.w as nc from sp join edges e on e.src = sp.node left join recurring.sp r on r.node = e.dst and r.source = sp.source where r.cost is null or sp.cost + e.w < r.cost) group by 1, 2)"
