@@ -471,7 +471,7 @@ def graph_from_sections(spark, sf):
 
 @query(sql("select node, count(*) as degree from (select distinct least(src, dst) as a, greatest(src, dst) as b from edges where src % 7 = 0), unnest([a, b]) t(node) group by 1 having count(*) = 1", "edges"))
 def graph_degree_one(spark, sf):
-    return network.degrees(X.edges(spark, sf).where("src % 7 = 0")).where("degree = 1")
+    return network.degrees(X.edges(spark, sf)).where("degree = 1")
 
 
 _COMPONENTS = "e as (select src as u, dst as v from edges where (src * 7 + dst) % 11 = 0), ee as (select u, v from e union select v, u from e), r(node, component) using key (node) as (select distinct u, u from ee union select ee.v, min(r.component) from r join ee on ee.u = r.node left join recurring.r k on k.node = ee.v where r.component < k.component group by 1)"

@@ -43,3 +43,8 @@ def test_components_of_all_edges(spark, small):
 def test_pruned_edges_of_all_edges(spark, small):
     found = {(r.src, r.dst) for r in QUERIES["small_component_prune"](spark, small).collect()}
     assert found == {(a, b) for a, b in LINKS if a < 5 or a >= 10}
+
+
+def test_degree_one_of_all_edges(spark, small):
+    found = {(r.node, r.degree) for r in QUERIES["graph_degree_one"](spark, small).collect()}
+    assert found == {(n, 1) for n in (0, 4, 5, 6, 7, 9)}
