@@ -304,7 +304,7 @@ def region_codes_within(spark, sf):
 
 @query(sql("select a.id as a, b.id as b, round(sqrt((a.x + 500 - b.x) ** 2 + (a.y + 500 - b.y) ** 2), 4) as distance from pop a, poi b where a.code = 1 and (a.x + 500 - b.x) ** 2 + (a.y + 500 - b.y) ** 2 <= 5000 * 5000", "pop", "poi"))
 def pairs_within_distance(spark, sf):
-    left = X.pop_cells(spark, sf).where("code = 1").select("id", (c("x") + 500).alias("x"), (c("y") + 500).alias("y"))
+    left = X.pop_cells(spark, sf).select("id", (c("x") + 500).alias("x"), (c("y") + 500).alias("y"))
     return spatial.pairs_within(left, X.pois(spark, sf), 5000.0).select("a", "b", F.round("distance", 4).alias("distance"))
 
 
@@ -651,7 +651,8 @@ def line_crossings(spark, sf):
 
 @query(sql(f"{_LABELS} select a, b, cost from (select node as a, (node * 13 + 5) % 1500 as b from sources) p left join (select source, node, cost from sp where cost <= 40) s on s.source = p.a and s.node = p.b", "edges", "sources", recursive=True))
 def pair_costs(spark, sf):
-    pairs = X.sources(spark, sf).selectExpr("node as a", "(node * 13 + 5) % 1500 as b")
+    n = table(spark, sf, "customer").count()
+    pairs = X.sources(spark, sf).selectExpr("node as a", f"(node * 13 + 5) % {n} as b")
     return paths.pair_costs(X.edges(spark, sf), pairs, 40)
 
 
