@@ -16,6 +16,11 @@ from gridloom.operators.spatial import overlay_cells
 FR_ACTIVITY = ("Agricole", "Commercial et services", "Industriel")
 FR_CULTURAL_NATURE = ("Tour, donjon", "Monument", "Moulin à vent", "Arc de triomphe", "Fort, blockhaus, casemate", "Eglise", "Château", "Chapelle", "Arène ou théâtre antique")
 NL_RESIDENTIAL = ("woonfunctie", "logiesfunctie")
+NL_ACTIVITY = ("overige gebruiksfunctie", "industriefunctie", "kantoorfunctie", "sportfunctie", "winkelfunctie", "gezondheidszorgfunctie", "bijeenkomstfunctie", "onderwijsfunctie", "celfunctie")
+NL_CULTURAL = ("windmolen: korenmolen", "kerk", "kasteel", "kapel", "bunker", "vuurtoren", "toren", "windmolen: watermolen", "windmolen", "klooster, abdij", "moskee", "fort", "waterradmolen", "paleis", "overig religieus gebouw", "klokkentoren", "koepel", "synagoge")
+PL_RESIDENTIAL = ("budynkiMieszkalneJednorodzinne", "budynkiODwochMieszkaniach", "budynkiOTrzechIWiecejMieszkaniach", "budynkiZbiorowegoZamieszkania")
+PL_ACTIVITY = ("budynekGospodarstwaRolnego", "budynkiBiurowe", "budynkiHandlowoUslugowe", "budynkiHoteli", "budynkiKulturyFizycznej", "budynkiLacznosciDworcowITerminali", "budynkiMuzeowIBibliotek", "budynkiPrzemyslowe", "budynkiSzkolIInstytucjiBadawczych", "budynkiSzpitaliIZakladowOpiekiMedycznej", "budynkiZakwaterowaniaTurystycznegoPozostale", "ogolnodostepneObiektyKulturalne", "pozostaleBudynkiNiemieszkalne", "zbiornikSilosIBudynkiMagazynowe")
+PL_CULTURAL = ("budynekZabytkowy", "budynkiKultuReligijnego")
 IT_ACTIVITY = ("02", "03", "04", "06", "07", "08", "09", "10", "11", "12")
 IT_CULTURAL_TYPE = ("03", "06", "07", "10", "11", "12", "13", "15", "16", "17", "18", "20", "22", "24", "25")
 LU_CULTURAL = (41004, 41005, 41302, 41303, 41305)
@@ -41,11 +46,11 @@ def share_of(tokens: Column, values) -> Column:
     return F.when(F.size(tokens) > 0, hits / F.size(tokens)).otherwise(F.lit(0.0))
 
 
-def harmonise(df: DataFrame, source: str, *, small: Column | None = None, nl_activity: tuple = (), nl_cultural: tuple = (), pl_residential: tuple = (), pl_activity: tuple = (), pl_cultural: tuple = ()) -> DataFrame:
+def harmonise(df: DataFrame, source: str, *, small: Column | None = None, nl_activity: tuple = NL_ACTIVITY, nl_cultural: tuple = NL_CULTURAL, pl_residential: tuple = PL_RESIDENTIAL, pl_activity: tuple = PL_ACTIVITY, pl_cultural: tuple = PL_CULTURAL) -> DataFrame:
     """df with floor_nb, residential, activity, cultural_value (shares from 0 to 1) by the rules of its source.
 
-    small: whether shrinking the building by 25 m leaves nothing (sources at and cz). Lists of uses that are long
-    or local are parameters.
+    small: whether shrinking the building by 25 m leaves nothing (sources at and cz). The lists of uses of
+    nl and pl may be replaced by others.
     """
     c = F.col
     when = lambda *rules: reduce(lambda w, r: w.when(_sure(r[0]), float(r[1])), rules[1:], F.when(_sure(rules[0][0]), float(rules[0][1]))).otherwise(0.0)
@@ -65,7 +70,8 @@ def harmonise(df: DataFrame, source: str, *, small: Column | None = None, nl_act
         made = (floors(h, None, None), when((n == 0, 1)), when((((n >= 10000) & (n < 42000)) | (n == 80000), 1)), when((n.isin(*LU_CULTURAL) | n.between(50000, 50011), 1)))
     elif source == "nl":
         uses = F.split(F.coalesce(c("gebruiksdoel"), F.lit("")), ",")
-        res, act = (F.size(F.filter(uses, lambda t, v=v: t.isin(*v))) if v else F.lit(0) for v in (NL_RESIDENTIAL, nl_activity))
+        count = lambda values: F.size(F.filter(uses, lambda t: t.isin(*values)))
+        res, act = count(NL_RESIDENTIAL), count(nl_activity) if nl_activity else F.lit(0)
         both = res + act
         share = lambda n: F.when(both > 0, n / both).otherwise(0.0)
         kinds = F.split(F.coalesce(c("top10nl_typegebouw"), F.lit("")), r"\|")
