@@ -513,12 +513,16 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
         sets, universe = ordered_sets(table.column("text").combine_chunks(), sketch, k)
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
         left, right = [i for i, p in enumerate(part) if p == a], [i for i, p in enumerate(part) if p == b]
+        bound = lambda i, j: 100 - (100 - percent) * (1 + more[i] + more[j])
         found = []
         for i, j, o, u in join_sets([sets[i] for i in left], [sets[j] for j in right], universe, max(far, 1)):
             i, j = left[i], right[j]
             # a leader of none but itself reaches no further than itself
-            if (a != b or ids[i] < ids[j]) and 100 * o >= (100 - (100 - percent) * (1 + more[i] + more[j])) * u:
+            if (a != b or ids[i] < ids[j]) and 100 * o >= bound(i, j) * u:
                 found.append((ids[i], ids[j], 100 * o >= percent * u))
+        if far < 1:  # leaders that share nothing may still lead sets that are linked
+            held = {(i, j) for i, j, _ in found}
+            found += [(ids[i], ids[j], False) for i in left for j in right if (a != b or ids[i] < ids[j]) and bound(i, j) <= 0 and (ids[i], ids[j]) not in held]
         return pa.table([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["src", "dst", "linked"])
 
     pairs = stage(paired.groupBy("comp", "a", "b").applyInArrow(between, near), "leaders")

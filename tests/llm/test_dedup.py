@@ -179,3 +179,17 @@ def exact_components(n, links):
     for a, b in links:
         up.join(a, b)
     return [up.find(i) for i in range(n)]
+
+
+def test_links_of_sets_whose_leaders_share_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    blocks = {0: [], 1: []}  # ids by their block of two
+    for r in spark.range(40).selectExpr("id", "pmod(xxhash64(id), 2L) as block").collect():
+        blocks[r.block].append(r.id)
+    (la, a, _), (lb, b, pivot) = blocks[0][:3], blocks[1][:3]
+    sets = {la: range(60), a: range(100), lb: [*range(60, 95), *range(100, 125)], b: range(25, 125), pivot: range(1000, 1100)}
+    rows = [(i, " ".join(f"w{n}" for n in v), 0, int(i == pivot)) for i, v in sets.items()]
+    members = spark.createDataFrame(rows, "id long, text string, comp long, degree long")
+    sketch = ngram_join.frequency_sketch(members.select("text"), 1)
+    links = {frozenset((r.src, r.dst)) for r in ngram_join._links(members, sketch, 1, 60).collect()}
+    assert links == {frozenset((la, a)), frozenset((lb, b)), frozenset((a, b))}
