@@ -3,8 +3,8 @@
 A batch of texts is held as one byte array and an offsets array. Words are the
 runs of bytes outside ``[\\x20\\x09-\\x0D]``; every word becomes a 64-bit hash, so
 later steps work on ragged integer arrays and never on one word at a time.
-Null texts count as empty. Texts are cut into slabs of a few MB (a single longer
-text is a slab of its own), so memory is bounded by the longest text.
+Null texts count as empty. Texts are cut into slabs that stay in a core's cache (a single
+longer text is a slab of its own), so memory is bounded by the longest text.
 """
 
 from __future__ import annotations
@@ -14,22 +14,37 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 512 << 10
 WHITE = b" \t\n\x0b\x0c\r"
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C55)
-_powers = np.cumprod(np.full(1 << 12, _BASE, np.uint64), dtype=np.uint64)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_held: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: np.uint64, n: int) -> np.ndarray:
+    """1, base, base**2, ... modulo 2**64; kept up to four slabs' length, made anew beyond."""
+    held = _held.get(int(base), np.empty(0, np.uint64))
+    if n > len(held):
+        held = np.full(1 << max(12, int(n - 1).bit_length()), base, np.uint64)
+        held[0] = 1
+        np.cumprod(held, out=held)
+        if len(held) <= 4 * SLAB_BYTES:
+            _held[int(base)] = held
+    return held
 
 
 def powers(n: int) -> np.ndarray:
-    """The first n powers of the hash base, modulo 2**64."""
-    global _powers
-    if n > len(_powers):
-        _powers = np.cumprod(np.full(1 << int(n - 1).bit_length(), _BASE, np.uint64), dtype=np.uint64)
-    return _powers[:n]
+    """The first n powers of the hash base from the first on, modulo 2**64."""
+    return _powers_of(_BASE, n + 1)[1 : n + 1]
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    """The first n powers of the base's inverse, from one on."""
+    return _powers_of(_INVERSE, n)[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -84,22 +99,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each non-empty span."""
+    """A 64-bit hash of the bytes of each non-empty span: differences of one running sum, brought back to the span's start."""
     if len(starts) == 0:
         return np.empty(0, np.uint64)
-    size = ends - starts
-    first = np.cumsum(size) - size
-    total = int(first[-1] + size[-1])
-    step = np.ones(total, np.int64)
-    step[0] = 0
-    step[first[1:]] = 1 - size[:-1]
-    within = np.cumsum(step)
-    step[0] = starts[0]
-    step[first[1:]] = starts[1:] - ends[:-1] + 1
-    values = data[np.cumsum(step)].astype(np.uint64)
+    values = data.astype(np.uint64)
     values += np.uint64(1)
-    values *= powers(int(size.max()))[within]
-    return mix(np.add.reduceat(values, first) + size.astype(np.uint64))
+    values *= powers(len(data))
+    total = np.cumsum(values)
+    held = total[ends - 1]
+    after = starts > 0
+    held[after] -= total[starts[after] - 1]
+    held *= inverse_powers(len(data))[starts]
+    return mix(held + (ends - starts).astype(np.uint64))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -119,8 +130,13 @@ def shingle_hashes(words: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarra
     out = np.concatenate(([0], np.cumsum(count)))
     if not out[-1]:
         return np.empty(0, np.uint64), out
-    first = np.arange(int(out[-1]), dtype=np.int64) + np.repeat(at[:-1] - out[:-1], count)
-    total = np.zeros(len(first), np.uint64)
-    for i, p in enumerate(powers(k)):
-        total += words[first + i] * p
+    total = words[: len(words) - k + 1] * powers(k)[0]
+    for i in range(1, k):
+        total += words[i : len(words) - k + 1 + i] * powers(k)[i]
+    short = count < np.diff(at)  # windows that would reach into the next text
+    if short.any():
+        whole = np.zeros(len(total) + 1, np.int64)
+        np.add.at(whole, np.minimum(at[:-1][count > 0], len(total)), 1)
+        np.add.at(whole, np.minimum((at[:-1] + count)[count > 0], len(total)), -1)
+        total = total[np.cumsum(whole[:-1]) > 0]
     return mix(total), out

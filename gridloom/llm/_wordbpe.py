@@ -2,29 +2,48 @@
 
 The vocabulary file (json of the ``tokenizers`` library) lower-cases a text,
 splits it into pre-tokens that never cross white space, and merges the byte
-symbols of each pre-token by rank. A batch of distinct pre-tokens is held as one
-ragged array of symbol ids. In every round each pre-token finds its own lowest
-rank and merges all occurrences of that pair at once; pre-tokens without a pair
-left drop out. Results are kept by white-space word, so a frequent word is merged
-once in a worker.
+symbols of each pre-token by rank. A slab of texts is cut into white-space words by
+numpy; each worker keeps the ids of the words it has met in a table by 64-bit hash, so
+a frequent word is merged once. New words are cut into pre-tokens: printable ASCII and
+Latin letters by a pattern over all of them at once, other words by the library's own
+normaliser and pattern, whose letters, numbers, lower case and composition are those
+of the library's Unicode version and not of Python's. The distinct pre-tokens of all
+new words, of either kind, are one ragged array of symbol ids. In every round each
+pre-token finds its own lowest rank and merges all occurrences of that pair at once;
+pre-tokens without a pair left drop out.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
-import regex
+import pyarrow as pa
 
+from gridloom.llm import _ragged as R
 from gridloom.llm._ragged import span_hashes
 
 NONE = np.iinfo(np.int32).max
 KEPT_WORDS = 700_000
-#: Printable ASCII and Latin letters, as they stay when lower-cased: all of a known class, none changed by composition.
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-įĲ-ɏ]+").fullmatch
-_SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
+#: Printable ASCII and Latin letters up to U+017F, lower-cased within that range: all of a known class, none changed by composition.
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-įĲ-ſ]+").fullmatch
+#: Kinds of bytes in simple words: pre-tokens are runs of letters, single digits, runs of other marks. The apostrophe and < may begin more.
+_LETTER, _DIGIT, _MARK = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = _MARK
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[39, 60]] = 0
+#: The end of patterns that simple words follow.
+RUNS = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _all(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each span has only set flags."""
+    total = np.concatenate(([0], np.cumsum(flags)))
+    return total[ends] - total[starts] == ends - starts
 
 
 def byte_symbols() -> list[str]:
@@ -50,10 +69,16 @@ class WordBpe:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.marks = sorted({x[:2] for x in self.special})
         pattern = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.find = regex.compile(pattern).findall
+        first = pattern.removesuffix(RUNS).split("|")
+        self.simple = pattern.endswith(RUNS) and all(x.startswith("'") for x in first if x) and all(m[0] == "<" for m in self.marks)
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+        whole = Tokenizer.from_file(path)
+        self.normal = whole.normalizer.normalize_str if whole.normalizer else str
+        self.find = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
         #: The same pattern over the lower-case letters, digits and marks of PLAIN, and line feeds as tokens.
-        self.find_plain = re.compile(pattern.replace(r"\p{L}", "a-zÀ-ÖØ-öø-ɏ").replace(r"\p{N}", "0-9") + r"|\n").findall
-        self.kept: dict[str, bytes] = {}
+        self.find_plain = re.compile(pattern.replace(r"\p{L}", "a-zÀ-ÖØ-öø-ſ").replace(r"\p{N}", "0-9") + r"|\n").findall
+        self.forget()
 
     def fill(self, keys: np.ndarray, made: np.ndarray) -> None:
         """An open-addressing table of the pairs: key, rank, made symbol."""
@@ -120,77 +145,160 @@ class WordBpe:
         order = np.argsort(seq, kind="stable")
         return ids[order], np.concatenate(([0], np.cumsum(np.bincount(seq, minlength=n))))
 
-    def pretokens(self, word: str) -> list[str]:
-        word = unicodedata.normalize("NFC", word)
-        return self.find("".join(c.lower() for c in word) if "Σ" in word else word.lower())
-
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of each white-space word, as little-endian 32-bit numbers."""
-        out = [b""] * len(words)
-        plain = [i for i, w in enumerate(words) if PLAIN(w) and not any(m in w for m in self.marks)]
-        if plain:
-            for i, ids in zip(plain, self.encode_plain([words[i] for i in plain]), strict=True):
-                out[i] = ids
-            others = sorted(set(range(len(words))).difference(plain))
-        else:
-            others = range(len(words))
-        for i in others:
-            if words[i]:
-                out[i] = self.encode_odd(words[i])
-        return out
-
-    def encode_odd(self, word: str) -> bytes:
-        """A word with special strings or characters outside PLAIN."""
-        ids: list[np.ndarray] = []
+    def pretokens(self, word: str) -> list[tuple[str, int]]:
+        """The pre-tokens of a word with special strings or characters outside PLAIN; special ones with their id, others with -1."""
+        out = []
         for piece in self.cut_special.split(word) if self.cut_special else (word,):
             if piece in self.special:
-                ids.append(np.array([self.special[piece]], np.int32))
-            for token in self.pretokens(piece) if piece not in self.special else ():
-                data = np.frombuffer(token.encode(), np.uint8)
-                symbols = self.inner[data]
-                symbols[-1] = self.last[data[-1]]
-                ids.append(self.merge(symbols, np.array([0, len(symbols)]))[0])
-        return np.concatenate(ids).astype("<u4").tobytes() if ids else b""
-
-    def encode_plain(self, words: list[str]) -> list[bytes]:
-        joined = "\n".join(words).lower()
-        tokens = self.find_plain(joined)  # they cover every character
-        data = np.frombuffer(joined.encode(), np.uint8)
-        lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        ends = lead[np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))]
-        starts = np.concatenate(([0], ends[:-1]))
-        line = data[starts] == 10
-        owner = np.cumsum(line)[~line]
-        starts, ends = starts[~line], ends[~line]
-        _, first, place = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        starts, ends = starts[first], ends[first]  # each distinct pre-token once
+                out.append((piece, self.special[piece]))
+            elif piece:
+                out += [(token, -1) for token, _ in self.find(self.normal(piece))]
+        return out
+
+    def encode_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets by word) of the white-space words data[starts[i]:ends[i]]."""
+        n = len(starts)
+        low, whole = R._LOWER[data], data.tobytes()
+        simple = _all(_KIND[data] > 0, starts, ends) if self.simple else np.zeros(n, bool)
+        bodies, words, plain, odd = [], [], [], []
+        for i in np.flatnonzero(~simple).tolist():
+            word = whole[starts[i] : ends[i]].decode()
+            fits = PLAIN(word) is not None and not any(m in word for m in self.marks)
+            (plain if fits else odd).append(i)
+            (words if fits else bodies).append(word)
+        begin, stop = np.zeros(len(data) + 1, np.int8), np.zeros(len(data) + 1, np.int8)
+        begin[starts[simple]], stop[ends[simple]] = 1, 1
+        kind = _KIND[data]
+        inside = np.cumsum(begin - stop)[:-1] > 0
+        turn = np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)))
+        first = np.flatnonzero(inside & (turn | (begin[:-1] > 0)))  # where pre-tokens of simple words begin
+        number = np.flatnonzero(simple)
+        owner = number[np.searchsorted(starts[simple], first, side="right") - 1]
+        starts, ends = first, np.minimum(np.append(first[1:], len(data)), ends[owner])
+        fixed = np.full(len(first), -1, np.int64)
+        if plain:
+            joined = "\n".join(words).lower()
+            tokens = self.find_plain(joined)  # they cover every character
+            held = np.frombuffer(joined.encode(), np.uint8)
+            lead = np.append(np.flatnonzero((held & 0xC0) != 0x80), len(held))
+            after = lead[np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))]
+            before = np.concatenate(([0], after[:-1]))
+            line = held[before] == 10
+            owner = np.concatenate((owner, np.array(plain)[np.cumsum(line)[~line]]))
+            fixed = np.concatenate((fixed, np.full(len(line) - int(line.sum()), -1)))
+            starts, ends = np.concatenate((starts, before[~line] + len(low))), np.concatenate((ends, after[~line] + len(low)))
+            low = np.concatenate((low, held))
+        if odd:
+            found = [self.pretokens(word) for word in bodies]
+            tokens = [t.encode() for f in found for t, _ in f]
+            size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            after = np.cumsum(size) + len(low)
+            owner = np.concatenate((owner, np.repeat(np.array(odd), [len(f) for f in found])))
+            fixed = np.concatenate((fixed, np.array([i for f in found for _, i in f], np.int64)))
+            starts, ends = np.concatenate((starts, after - size)), np.concatenate((ends, after))
+            low = np.concatenate((low, np.frombuffer(b"".join(tokens), np.uint8)))
+        if plain or odd:
+            order = np.argsort(owner, kind="stable")
+            starts, ends, owner, fixed = starts[order], ends[order], owner[order], fixed[order]
+        data = low
+        key = span_hashes(data, starts, ends)
+        special = fixed >= 0
+        key[special] = fixed[special].astype(np.uint64)  # ids stand for themselves
+        _, first, place = np.unique(key, return_index=True, return_inverse=True)
+        starts, ends, fixed = starts[first], ends[first], fixed[first]  # each distinct pre-token once
+        ends = np.where(fixed >= 0, starts + 1, ends)  # one symbol, which is the special id
         at = np.concatenate(([0], np.cumsum(ends - starts)))
         own = data[np.arange(int(at[-1])) + np.repeat(starts - at[:-1], ends - starts)]
         ids = self.inner[own]
-        ids[at[1:] - 1] = self.last[own[at[1:] - 1]]
+        ids[at[1:] - 1] = np.where(fixed >= 0, fixed, self.last[own[at[1:] - 1]])
         ids, at = self.merge(ids, at)
         size = np.diff(at)[place]
         to = np.concatenate(([0], np.cumsum(size)))
-        whole = ids[np.arange(int(to[-1])) + np.repeat(at[:-1][place] - to[:-1], size)].astype("<u4").tobytes()
-        cut = (4 * to[np.searchsorted(owner, np.arange(len(words) + 1))]).tolist()
-        return [whole[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
-    def split(self, text: str) -> list[str]:
-        """White-space words; some may be empty."""
-        return text.translate(_SPACES).split(" ") if not text.isascii() else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ")
-
-    def learn(self, texts: list[list[str]], limit: int = KEPT_WORDS) -> dict[str, bytes]:
-        """The ids by word, holding every word of these split texts."""
-        wanted: set[str] = set()
-        for words in texts:
-            wanted.update(words)
-        if len(self.kept) + len(wanted) > limit:
-            self.kept = {w: self.kept[w] for w in wanted if w in self.kept}
-        new = [w for w in wanted if w not in self.kept]
-        for lo in range(0, len(new), 200_000):
-            some = new[lo : lo + 200_000]
-            self.kept.update(zip(some, self.encode_words(some), strict=True))
-        return self.kept
+        whole = ids[np.arange(int(to[-1])) + np.repeat(at[:-1][place] - to[:-1], size)]
+        return whole, to[np.searchsorted(owner, np.arange(n + 1))]
+
+    def forget(self) -> None:
+        self.words = WordTable()
+        self.ids, self.at = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def places(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each white-space word among the kept words, word offsets by text); learns the words that are new."""
+        starts, ends, by = R.word_spans(data, offsets)
+        key = span_hashes(data, starts, ends)
+        if len(self.at) > KEPT_WORDS:
+            self.forget()
+        place = self.words.find(key)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            keys, first, back = np.unique(key[new], return_index=True, return_inverse=True)
+            order = np.argsort(first)  # as they come in the slab
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            keys, first, back = keys[order], first[order], rank[back]
+            ids, at = self.encode_words(data, starts[new[first]], ends[new[first]])
+            place[new] = len(self.at) - 1 + back
+            self.words.add(keys)
+            self.ids, self.at = np.concatenate((self.ids, ids)), np.concatenate((self.at, at[1:] + self.at[-1]))
+        return place, by
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, past the last, ids, offsets by text) by slab of whole texts; null is empty."""
+        for lo, hi, data, offsets in R.slabs(*R.text_bytes(column)):
+            place, by = self.places(data, offsets)
+            size = np.diff(self.at)[place]
+            to = np.concatenate(([0], np.cumsum(size)))
+            yield lo, hi, self.ids[np.arange(int(to[-1])) + np.repeat(self.at[:-1][place] - to[:-1], size)], to[by]
+
+    def count(self, column: pa.Array) -> np.ndarray:
+        """How many ids each text has."""
+        out = [np.empty(0, np.int64)]
+        for _, _, data, offsets in R.slabs(*R.text_bytes(column)):
+            place, by = self.places(data, offsets)
+            out.append(np.diff(np.concatenate(([0], np.cumsum(np.diff(self.at)[place])))[by]))
+        return np.concatenate(out)
+
+
+class WordTable:
+    """An open-addressing table of 64-bit word hashes, numbered in the order they were added."""
+
+    def __init__(self):
+        self.count = 0
+        self.room(1 << 16)
+
+    def room(self, size: int) -> None:
+        self.shift, self.mask = np.uint64(65 - size.bit_length()), size - 1
+        self.keys, self.number = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+
+    def probe(self, key: np.ndarray) -> np.ndarray:
+        """The slot of each key, or the empty slot where it would go."""
+        at = ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        open_ = np.flatnonzero((self.keys[at] != key) & (self.number[at] >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            again = at[open_]
+            open_ = open_[(self.keys[again] != key[open_]) & (self.number[again] >= 0)]
+        return at
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where it is not held."""
+        return self.number[self.probe(key)].astype(np.int64)
+
+    def add(self, key: np.ndarray) -> None:
+        """Distinct keys that are not held yet."""
+        if 3 * (self.count + len(key)) > len(self.keys):
+            held = np.flatnonzero(self.number >= 0)
+            old, number = self.keys[held], self.number[held]
+            self.room(1 << int(6 * (self.count + len(key))).bit_length())
+            self._put(old, number)
+        self._put(key, np.arange(self.count, self.count + len(key), dtype=np.int32))
+        self.count += len(key)
+
+    def _put(self, key: np.ndarray, number: np.ndarray) -> None:
+        while len(key):
+            at = self.probe(key)
+            self.keys[at], self.number[at] = key, number  # of keys that meet in an empty slot one stays
+            left = self.number[at] != number
+            key, number = key[left], number[left]
 
 
 _loaded: dict[str, WordBpe] = {}

@@ -2,19 +2,24 @@
 
 A document's token ids index rows of a fixed pseudo-random table, whose mean is the
 document's place in a few dimensions; documents with like words lie near one
-another. The place is cut to whole numbers and turned into a Hilbert key. Documents
-are range-sorted by (key, row) and laid end to end; every ``length`` tokens of that
-line are a sequence, so only the line's end falls short. The end is cut into
-sequences whose lengths are powers of two, which need no padding.
-
-1. One pass makes (row, key, number of ids, ids); written once to the shared folder.
+another. Places are centred on the corpus mean and scaled by the corpus spread (both
+weighted by tokens, over all documents), so that they fill the curve's cells whatever
+the language; cut to whole numbers they become a Hilbert key. Documents are
+range-sorted by (key, row) and laid end to end; every ``length`` tokens of that line
+are a sequence, so only the line's end falls short. The end is cut into sequences
+whose lengths are powers of two, which need no padding.
+
+1. One pass makes (row, sums over the table, number of ids, ids); written once to the
+   shared folder. The corpus mean and spread come from these sums.
 2. Only (row, key, number) is range-sorted; running sums within a partition, and one
    sum for each partition on the driver (as many numbers as partitions), place every
    document on the line. Equal keys are parted by row, so a hot key is no hot task.
 3. Ids are joined to places by row and cut into pieces.
 
 Null text is empty: one token, the end id. Repeated rows and ids are packed like any
-rows. An empty table gives no pieces. Each id lies in exactly one piece.
+rows. An empty table gives no pieces. Each id lies in exactly one piece. A very long
+text is one row of ids, cut over as many sequences as it fills. Only the id and the
+text column are read; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -28,17 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm._spark import schema_of, slots, stage
-from gridloom.llm.token_counts import default_vocabulary, pieces
+from gridloom.llm.token_counts import default_vocabulary
 
-DIMENSIONS, BITS = 3, 16
-#: Where the mean document lies: a third is far from the cube's cuts at every level, a half would be on the first.
-MIDDLE = 1 / 3
+DIMENSIONS, BITS = 4, 15
+#: A spread takes a document from the middle to 1/(1 + exp(-1.7 / REACH)) of the cube; the mean lies beside its first cut.
+REACH, ASIDE = 1.5, 0.35
 _PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def projection(size: int, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """A fixed table of standard normal numbers, a row for each token id."""
-    return np.random.default_rng(20240229).standard_normal((size, dimensions)).astype(np.float32)
+    """A fixed table of standard normal numbers, a column for each token id."""
+    return np.random.default_rng(20240229).standard_normal((dimensions, size))
 
 
 def hilbert(places: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -69,9 +74,12 @@ def hilbert(places: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+SUMS = [f"s{i}" for i in range(DIMENSIONS)]
+
+
 def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("row", T.LongType()), narrow.schema["doc_id"], *schema_of("key long, n long, ids binary").fields])
+    schema = T.StructType([T.StructField("row", T.LongType()), narrow.schema["doc_id"], *schema_of(", ".join(f"{c} double" for c in SUMS) + ", n long, ids binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -80,35 +88,40 @@ def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
         from gridloom.llm import _wordbpe
 
         merger = _wordbpe.load(path)
-        table = projection(merger.size)
-        kind = np.dtype("<u2") if max(merger.size, end_id + 1) <= 1 << 16 else np.dtype("<u4")
-        end = np.array([end_id], "<u4").tobytes()
+        table = projection(max(merger.size, end_id + 1, *(i + 1 for i in merger.special.values())))
+        kind = np.dtype("<u2") if table.shape[1] <= 1 << 16 else np.dtype("<u4")
+        arrow = to_arrow_schema(schema)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            lo = 0
-            for some in pieces(batch.column(1).fill_null("").to_pylist(), 4 << 20):
-                words = [merger.split(t) for t in some]
-                kept = merger.learn(words).__getitem__
-                coded = [b"".join(map(kept, w)) + end for w in words]
-                del words
-                at = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded])))
-                ids = np.frombuffer(b"".join(coded), "<u4")
-                sums = np.add.reduceat(table[np.minimum(ids, len(table) - 1)], at[:-1], axis=0, dtype=np.float64)
-                place = np.clip((sums / np.diff(at)[:, None] / 2 + MIDDLE) * (1 << BITS), 0, (1 << BITS) - 1)
-                body = ids.astype(kind).tobytes()
-                size = kind.itemsize
+            for lo, hi, words, by in merger.encode(batch.column(1)):
+                n = hi - lo
+                at = by + np.arange(n + 1)  # an end id more for each text
+                ids = np.insert(words, by[1:], end_id)
+                sums = [np.add.reduceat(column[ids], at[:-1]) for column in table]
+                body, size = ids.astype(kind).tobytes(), kind.itemsize
                 made = [body[size * a : size * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                n = len(some)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), batch.column(0).slice(lo, n), pa.array(hilbert(place)), pa.array(np.diff(at).astype(np.int64)), pa.array(made, pa.binary())], schema=to_arrow_schema(schema))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), batch.column(0).slice(lo, n), *map(pa.array, sums), pa.array(np.diff(at).astype(np.int64)), pa.array(made, pa.binary())], schema=arrow)
                 row += n
-                lo += n
 
     return narrow.mapInArrow(run, schema)
 
 
 def _places(coded: DataFrame) -> DataFrame:
     """row, part, before: the ids of its partition that come before it on the curve; n."""
-    dealt = coded.select("row", "key", "n").repartitionByRange(slots(coded.sparkSession), "key", "row").sortWithinPartitions("key", "row").select("row", "n")
+    total = coded.agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS], *[F.sum(F.col(c) * F.col(c) / F.col("n")).alias(f"{c}_2") for c in SUMS]).first()
+    tokens = total["n"] or 1
+    mean = [(total[c] or 0.0) / tokens for c in SUMS]
+    spread = [max((total[f"{c}_2"] or 0.0) / tokens - m * m, 1e-12) ** 0.5 for c, m in zip(SUMS, mean, strict=True)]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(1).to_numpy()
+            places = [((batch.column(2 + i).to_numpy() / n - mean[i]) / spread[i] / REACH + ASIDE) * 1.7 for i in range(DIMENSIONS)]
+            cells = np.clip(np.stack([(1 << BITS) / (1 + np.exp(-p)) for p in places], axis=1), 0, (1 << BITS) - 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hilbert(cells))], ["row", "n", "key"])
+
+    keys = coded.select("row", "n", *SUMS).mapInArrow(keyed, "row long, n long, key long")
+    dealt = keys.repartitionByRange(slots(coded.sparkSession), "key", "row").sortWithinPartitions("key", "row").select("row", "n")
     schema = "row long, n long, part long, before long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

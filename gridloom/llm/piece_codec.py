@@ -257,6 +257,18 @@ def load(path: str) -> PieceCodec:
     return _loaded[path]
 
 
+def pieces(texts: list, size: int = 8 << 20) -> Iterator[list]:
+    """Runs of texts of about ``size`` characters."""
+    lo = total = 0
+    for i, t in enumerate(texts):
+        total += len(t)
+        if total >= size:
+            yield texts[lo : i + 1]
+            lo, total = i + 1, 0
+    if lo < len(texts):
+        yield texts[lo:]
+
+
 def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, keep_ids: bool = False) -> DataFrame:
     """id, n_tokens, ids_sha256, decoded_sha256 of every row; with keep_ids also ids (array) and decoded (string).
 
@@ -270,8 +282,6 @@ def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         from hashlib import sha256
 
         from gridloom.llm import piece_codec
-        from gridloom.llm.token_counts import pieces
-
         codec = piece_codec.load(path)
         columns: list[list] = [[], [], []] + [[], []] * keep_ids
         for some in pieces(batch.column(batch.num_columns - 1).fill_null("").to_pylist()):

@@ -6,8 +6,11 @@ repeated ids and null ids stay as they are. An empty table gives an empty table.
 The special strings of the vocabulary count as one token where they stand in a
 text, as the library does by default; nothing is added, cut off or padded.
 
-No shuffle: one narrow pass. Memory in a worker: one Arrow batch and the words
-kept by the merger (bounded, see ``_wordbpe``).
+Words known already are told by a 64-bit hash of their bytes. Very long texts are
+taken whole, one at a time. Columns of other names, and clashing ones, are left out.
+
+No shuffle: one narrow pass. Memory in a worker: one Arrow batch, the words of one
+slab (or one longer text) and the words kept by the merger (bounded, see ``_wordbpe``).
 """
 
 from __future__ import annotations
@@ -25,18 +28,6 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pieces(texts: list, size: int = 8 << 20):
-    """Runs of texts of about ``size`` characters."""
-    lo = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= size:
-            yield texts[lo : i + 1]
-            lo, total = i + 1, 0
-    if lo < len(texts):
-        yield texts[lo:]
-
-
 def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, limit: int = 2048) -> DataFrame:
     """id, n_bytes, n_tokens, over_limit of every row of ``docs``."""
     path = vocabulary or default_vocabulary()
@@ -44,14 +35,8 @@ def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def kernel(batch: pa.RecordBatch) -> list:
         from gridloom.llm import _wordbpe
 
-        merger = _wordbpe.load(path)
         text = batch.column(batch.num_columns - 1).fill_null("")
-        counts: list[int] = []
-        for some in pieces(text.to_pylist()):
-            words = [merger.split(t) for t in some]
-            ids = merger.learn(words).__getitem__
-            counts += [sum(map(len, map(ids, w))) // 4 for w in words]
-        tokens = pa.array(counts, pa.int64())
+        tokens = pa.array(_wordbpe.load(path).count(text), pa.int64())
         return [pc.binary_length(text).cast(pa.int64()), tokens, pc.greater(tokens, limit)]
 
     return map_texts(docs, [id_col, text_col], "n_bytes long, n_tokens long, over_limit boolean", kernel)

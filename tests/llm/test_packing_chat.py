@@ -63,8 +63,9 @@ def test_hilbert_steps_go_to_a_neighbour():
     assert set(np.abs(np.diff(places[np.argsort(key)], axis=0)).sum(axis=1).tolist()) == {1}
 
 
-def test_like_documents_lie_near(spark):
-    rng = random.Random(8)
+@pytest.mark.parametrize("seed", range(8, 18))
+def test_like_documents_lie_near(spark, seed):
+    rng = random.Random(seed)
     rows = []
     for topic in range(6):
         bank = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(20)]

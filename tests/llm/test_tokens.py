@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -21,12 +23,13 @@ def pieces():
     return sentencepiece.SentencePieceProcessor(model_file=piece_codec.default_model())
 
 
-def ids(text):
+def ids_of(texts):
     merger = _wordbpe.load(default_vocabulary())
-    words = merger.split(text)
-    held = merger.learn([words])
-    whole = b"".join(held[w] for w in words)
-    return [int.from_bytes(whole[i : i + 4], "little") for i in range(0, len(whole), 4)]
+    return [ids[a:b].tolist() for _, _, ids, at in merger.encode(pa.array(texts, pa.string())) for a, b in itertools.pairwise(at.tolist())]
+
+
+def ids(text):
+    return ids_of([text])[0]
 
 
 ODD = ["", " ", "aaa aaaa aaaaaaa", "İstanbul ΑΣΣ ΑΣ", "<|endoftext|>hi<|startoftext|> x<|endoftext", "a\x1cb\x85c d e", "don't we'LL 'S x's''s", "①²½ Ⅻ ٣٤ 12", "é ﬁ 😀👨‍👩", "ſ K Å", "\x00 \x7f a_b __", "́x"]
@@ -43,6 +46,20 @@ def test_any_text(library, text):
     assert ids(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_code_point_is_cut_and_lowered_as_the_library_does(library):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x40000 or 0xE0000 <= c < 0xE0200 or c % 997 == 0)]
+    for lo in range(0, len(points), 20_000):
+        texts = [f"a{chr(c)} 1{chr(c)} :{chr(c)} {chr(c)}b {chr(c)}\u0301" for c in points[lo : lo + 20_000]]
+        held = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+        assert [hex(c) for c, a, b in zip(points[lo:], ids_of(texts), held, strict=False) if a != b] == []
+
+
+def test_words_are_forgotten_and_learned_anew(library, monkeypatch):
+    monkeypatch.setattr(_wordbpe, "KEPT_WORDS", 5)
+    for text in ("one two three four five six", "seven one <|endoftext|> né", "six 7 naïve"):
+        assert ids(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_counts(odd, odd_rows, library):
     found = sorted(map(tuple, count_tokens(odd).collect()), key=str)
     expected = []
