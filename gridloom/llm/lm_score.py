@@ -1,27 +1,38 @@
-"""Log-probabilities of texts under a smoothed word-pair model, walked as a weighted automaton with failure arcs.
+"""Log-probabilities of texts under a smoothed three-word model, walked as a weighted automaton with failure arcs.
 
 Tokens are the lower-cased (A-Z) words and one end token. Words score
-p(w) = (c(w) + 1) / (N + V + 1) at the root; after a word (or the start) h,
-p(w | h) = (c(h w) + mass * p(w)) / (c(h) + mass). As an automaton: the states are the
-root and one for each word seen in training and for the start; a state has an arc for
-each pair seen, weighted log10 p(w | h), and a failure arc to the root, weighted
-log10(mass / (c(h) + mass)), where every word has an arc. Reading a word leads to that
-word's state, or the root where it is unknown.
+p(w) = (c(w) + 1) / (N + V + 1) at the root. A history h (one word, or two; the start
+counts as one) seen c(h) times keeps m(h) = a * c(h)**GROWTH pseudo-counts for the
+history h' without its first word: p(w | h) = (c(h w) + m(h) p(w | h')) / (c(h) + m(h)).
+``a`` is estimated for each length from the training counts alone: the value under
+which leaving out each occurrence in turn gives as many new continuations as there are
+continuations seen once.
+
+As an automaton: the states are the root, the words and the pairs of words seen in
+training; a state has an arc for each continuation seen, weighted log10 p(w | h), that
+leads to the longest state that ends the history read; and a failure arc to the state of
+h', weighted log10(m(h) / (c(h) + m(h))). The root has an arc for every word. Texts are
+read once from left to right: all texts of a chunk in step, each carrying its state;
+where a state has no arc for the next word, failure arcs are followed until one has.
+Texts longer than LANE tokens are read in lanes side by side; a lane first reads the two
+tokens before it, which is all the state depends on.
 
 No executor needs the whole automaton. Texts are gathered to chunks of a few million
 tokens. Each chunk asks for the states and arcs its own texts can reach:
 
 1. One pass turns each chunk into numbers of its own vocabulary (hashes) and writes
    it to the shared folder.
-2. Each chunk counts its words and pairs and deals them out by hash, sorted and packed
-   into byte planes; equal hashes meet and their counts are summed. Chunks get back
-   only totals that differ from their own counts.
-3. Chunk and totals meet; the chunk's slice of the automaton is built and its texts
-   are walked at once.
-
-Every training text is counted, nothing is pruned. Words and pairs are known by 64-bit
-hashes. Null text is empty (one token, the end). Repeated rows count and score as they
-stand. Without training texts every word has probability 1 / (0 + 0 + 1).
+2. Each chunk counts its words, pairs and triples and deals them out by hash, sorted and
+   packed into byte planes; equal hashes meet and their counts are summed. Chunks get
+   back only totals that differ from their own counts. The number of parts follows the
+   number of chunks.
+3. Chunk and totals meet; the chunk's slice of the automaton is built and walked.
+
+Every training text is counted, nothing is pruned. Words, pairs and triples are known by
+64-bit hashes. Null text is empty (one token, the end). Repeated rows count and score as
+they stand; rows that share an id give a row each. A very long text is a chunk of its
+own. Columns besides id and text are ignored, whatever their names; an empty table gives
+none. Without training texts every word has probability 1 / (0 + 0 + 1).
 """
 
 from __future__ import annotations
@@ -32,14 +43,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.llm import _ragged as R
 from gridloom.llm._spark import schema_of, slots, stage
 
 CHUNK_TOKENS = 3_000_000
-MASS = 500.0
+GROWTH = 0.75
+LANE = 512
+CHUNKS_TO_A_PART = 4
 END, START = np.uint64(0xE4D), np.uint64(0x57A47)
-WORD, PAIR = 0, 1
+WORD, PAIR, TRIPLE = 0, 1, 2
 
 
 def to_planes(x: np.ndarray) -> bytes:
@@ -72,17 +86,19 @@ def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return held[first], place, np.diff(np.append(first, len(x)))
 
 
-_CHUNK = "chunk long, ids array<long>, learn array<boolean>, sizes binary, vocabulary binary, words binary"
+def _chunk_schema(id_type: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), *schema_of("learn array<boolean>, sizes binary, vocabulary binary, words binary").fields])
 
 
 def _chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
     """docs (id, learn, text) as rows of chunks: words as ranks, most frequent first, in the chunk's own vocabulary of hashes."""
+    kinds = _chunk_schema(docs.schema["id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        schema = to_arrow_schema(schema_of(_CHUNK))
+        schema = to_arrow_schema(kinds)
         chunk = TaskContext.get().partitionId() << 24
         ids, learn, words, sizes, held = [], [], [], [], 0
 
@@ -111,40 +127,48 @@ def _chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
         if ids:
             yield made()
 
-    return docs.mapInArrow(run, _CHUNK)
+    return docs.mapInArrow(run, kinds)
 
 
 class Chunk:
-    """The tokens of a chunk: a state (the word before) and a word each, and the distinct words and pairs."""
+    """The tokens of a chunk as numbers of its words, and its distinct words, pairs and triples."""
 
     def __init__(self, sizes: bytes, vocabulary: bytes, words: bytes, learn: list):
         size = from_planes(sizes, "<u4").astype(np.int64)
         words = from_planes(words, "<u4").astype(np.int64)
         known = from_planes(vocabulary, "<u8")
         self.hashes = np.concatenate((known, [END, START]))
-        end, start = len(known), len(known) + 1
+        self.end, self.start = len(known), len(known) + 1
         self.at = np.concatenate(([0], np.cumsum(size + 1)))
-        n = int(self.at[-1])
-        self.word, self.state = np.empty(n, np.int64), np.empty(n, np.int64)
+        n, v = int(self.at[-1]), len(self.hashes)
+        self.word, before = np.empty(n, np.int64), np.empty(n, np.int64)
         last = np.zeros(n, bool)
         last[self.at[1:] - 1] = True
         self.word[~last] = words
-        self.word[last] = end
-        self.state[1:] = self.word[:-1]
-        self.state[self.at[:-1]] = start
-        self.learned = np.repeat(np.array([bool(x) for x in learn]), size + 1)
-        self.pairs, self.pair, _ = distinct(self.state * len(self.hashes) + self.word)
-
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """(of words, of pairs) in training texts; the start counts once a text."""
+        self.word[last] = self.end
+        before[1:] = self.word[:-1]
+        before[self.at[:-1]] = self.start
+        self.learned = np.repeat(np.array([bool(x) for x in learn], bool), size + 1)
+        self.pairs, self.pair, _ = distinct(before * v + self.word)
+        later = np.ones(n, bool)
+        later[self.at[:-1]] = False
+        self.later = np.flatnonzero(later)  # tokens with two before them, the start included
+        self.triples, self.triple, _ = distinct(self.pair[self.later - 1] * v + self.word[self.later])
+
+    def counts(self) -> list[np.ndarray]:
+        """Of words, of pairs, of triples in training texts; the start counts once a text."""
         words = np.bincount(self.word[self.learned], minlength=len(self.hashes))
-        words[-1] = words[-2]
-        return words, np.bincount(self.pair[self.learned], minlength=len(self.pairs))
+        words[self.start] = words[self.end]
+        return [words, np.bincount(self.pair[self.learned], minlength=len(self.pairs)), np.bincount(self.triple[self.learned[self.later]], minlength=len(self.triples))]
 
-    def pair_hashes(self) -> np.ndarray:
-        state, word = np.divmod(self.pairs, len(self.hashes))
-        p = R.powers(3)
-        return R.mix(self.hashes[state] * p[1] + self.hashes[word] * p[2])
+    def names(self) -> list[np.ndarray]:
+        """Hashes of the words (the start left out), pairs and triples. The least bit tells pairs that end a text."""
+        v, p = len(self.hashes), R.powers(4)
+        first, second = np.divmod(self.pairs, v)
+        pairs = R.mix(self.hashes[first] * p[1] + self.hashes[second] * p[2])
+        pair, third = np.divmod(self.triples, v)
+        pairs = (pairs & ~np.uint64(1)) | (second == self.end).astype(np.uint64)
+        return [self.hashes[:-1], pairs, R.mix(pairs[pair] * p[1] + self.hashes[third] * p[3])]
 
 
 def _requests(chunks: DataFrame, parts: int) -> DataFrame:
@@ -155,8 +179,7 @@ def _requests(chunks: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 c = Chunk(row["sizes"], row["vocabulary"], row["words"], row["learn"])
-                words, pairs = c.counts()
-                for kind, hashes, counts in ((WORD, c.hashes[:-1], words[:-1]), (PAIR, c.pair_hashes(), pairs)):
+                for kind, (hashes, counts) in enumerate(zip(c.names(), c.counts(), strict=True)):
                     order = np.argsort(hashes)
                     hashes, counts = hashes[order], counts[order].astype("<u4")
                     part = ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
@@ -169,27 +192,83 @@ def _requests(chunks: DataFrame, parts: int) -> DataFrame:
     return chunks.mapInArrow(run, schema)
 
 
-_ANSWER = "chunk long, part int, kind int, places binary, totals binary, total long, known long"
+_ANSWER = "chunk long, part int, kind int, places binary, totals binary, levels binary, numbers binary"
+#: Counts below EXACT have a level each in the histogram of counts, larger ones 32 levels to a doubling.
+EXACT = 1 << 11
+
+
+def level(count: np.ndarray) -> np.ndarray:
+    """The count that stands for a count: itself, or the least of its level."""
+    step = np.maximum(np.int64(1), np.int64(1) << np.maximum(np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) - 5, 0))
+    return np.where(count < EXACT, count, count // step * step)
 
 
 def _answer(key: tuple, table: pa.Table) -> pa.Table:
-    """For each chunk that asked: where its counts fall short of the totals. Its least chunk also gets the part's sums."""
+    """For each chunk that asked: where its counts fall short of the totals. Its least chunk also gets the part's histogram of totals."""
     part, kind = key[0].as_py(), key[1].as_py()
-    rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
-    asked = [from_sorted_planes(r["hashes"], "<u8") for r in rows]
-    own = [from_planes(r["counts"], "<u4").astype(np.int64) for r in rows]
+    rows = table.sort_by("chunk")
+    chunk = rows.column("chunk").to_pylist()
+    asked = [from_sorted_planes(x.as_py(), "<u8") for x in rows.column("hashes")]
+    own = [from_planes(x.as_py(), "<u4").astype(np.int64) for x in rows.column("counts")]
     values, place, _ = distinct(np.concatenate(asked))
     totals = np.bincount(place, weights=np.concatenate(own), minlength=len(values)).astype(np.int64)
+    ending = (values & np.uint64(1)).astype(np.int64) if kind == PAIR else np.zeros(len(values), np.int64)
+    # levels are even for what may go on, odd for pairs that end a text
+    levels, numbers = np.unique(2 * level(totals[totals > 0]) + ending[totals > 0], return_counts=True)
+    total = totals.sum() if kind == WORD else 0
     out: list[list] = [[] for _ in range(7)]
     lo = 0
-    for i, (r, counts) in enumerate(zip(rows, own, strict=True)):
+    for i, counts in enumerate(own):
         whole = totals[place[lo : lo + len(counts)]]
         lo += len(counts)
         more = np.flatnonzero(whole != counts)
-        for c, v in zip(out, (r["chunk"], part, kind, sorted_planes(more.astype("<u4")), to_planes(whole[more].astype("<u8")), int(totals.sum()) if i == 0 else 0, int((totals > 0).sum()) if i == 0 else 0), strict=True):
+        first = (np.append(levels, -1), np.append(numbers, total)) if i == 0 else (np.empty(0, np.int64),) * 2
+        for c, v in zip(out, (chunk[i], part, kind, sorted_planes(more.astype("<u4")), to_planes(whole[more].astype("<u8")), *(f.astype("<i8").tobytes() for f in first)), strict=True):
             c.append(v)
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-    return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["chunk", "part", "kind", "places", "totals", "total", "known"])
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["chunk", "part", "kind", "places", "totals", "levels", "numbers"])
+
+
+def _histogram(answers: DataFrame) -> dict[int, dict[int, int]]:
+    """By kind: how many distinct items have a level; level -1: the sum over all. A few thousand numbers, whatever the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            levels = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
+            numbers = [np.frombuffer(x, "<i8") for x in batch.column(2).to_pylist()]
+            kind = np.repeat(batch.column(0).to_numpy(), [len(x) for x in levels])
+            join = lambda x: pa.array(np.concatenate(x) if x else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), join(levels), join(numbers)], ["kind", "level", "n"])
+
+    out: dict[int, dict[int, int]] = {WORD: {}, PAIR: {}, TRIPLE: {}}
+    for kind, at, n in answers.select("kind", "levels", "numbers").mapInArrow(run, "kind int, level long, n long").groupBy("kind", "level").agg(F.sum("n")).collect():
+        out[kind][at] = n
+    return out
+
+
+def mass_factor(counts: np.ndarray, numbers: np.ndarray, once: int) -> float:
+    """a, such that histories seen ``counts`` times (``numbers`` of each) are expected to meet ``once`` new continuations when each occurrence is left out in turn."""
+    lo, hi = 1e-3, 1e6
+    if not len(counts):
+        return 1.0
+    for _ in range(100):
+        a = (lo * hi) ** 0.5
+        m = a * counts**GROWTH
+        if (numbers * counts * m / (counts - 1 + m)).sum() < once:
+            lo = a
+        else:
+            hi = a
+    return a
+
+
+def mass_factors(held: dict[int, dict[int, int]]) -> tuple[float, float]:
+    """a for histories of one word and of two."""
+    out = []
+    for kind in (WORD, PAIR):
+        some = sorted((k // 2, n) for k, n in held[kind].items() if k >= 0 and k % 2 == 0)
+        once = sum(held[kind + 1].get(k, 0) for k in (2, 3))
+        out.append(mass_factor(np.array([k for k, _ in some], float), np.array([n for _, n in some], float), once))
+    return out[0], out[1]
 
 
 def _filled(counts: np.ndarray, hashes: np.ndarray, answers: list[dict], parts: int) -> np.ndarray:
@@ -204,49 +283,113 @@ def _filled(counts: np.ndarray, hashes: np.ndarray, answers: list[dict], parts:
 
 
 class Automaton:
-    """States, arcs and failure arcs that a chunk can reach; weights are log10."""
-
-    def __init__(self, words: np.ndarray, arcs: np.ndarray, state: np.ndarray, word: np.ndarray, total: int, known: int, mass: float):
-        """words: count by word (the start last); arcs: count by pair, from ``state`` by ``word``."""
-        p = (words + 1.0) / (total + known + 1)
-        self.root = np.log10(p)
-        self.failure = np.log10(mass / (words + mass))
-        with np.errstate(divide="ignore"):
-            taken = np.log10((arcs + mass * p[word]) / (words[state] + mass))
-        self.arc = np.where(arcs > 0, taken, self.failure[state] + self.root[word])
-
-    def walk(self, pair: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Sum along each text: an arc where the state has one, else its failure arc and the root's."""
-        return np.add.reduceat(self.arc[pair], at[:-1]) if len(pair) else np.empty(0)
-
-
-def score_texts(docs: DataFrame, *, learn: Column, id_col: str = "doc_id", text_col: str = "text", mass: float = MASS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """The states, arcs and failure arcs that a chunk can reach; weights are log10.
+
+    States: a number of the vocabulary for a history of one word, then the pairs, then the root. Arcs are kept sorted
+    by (state, word).
+    """
+
+    def __init__(self, chunk: Chunk, counts: list[np.ndarray], total: int, known: int, factors: tuple[float, float]):
+        words, pairs, triples = counts
+        v = self.size = len(chunk.hashes)
+        self.base = v + len(pairs)
+        seen = (words > 0).astype(np.int64)
+        p1 = (words + 1.0) / (total + known + 1)
+        self.root, self.after_root = np.log10(p1), np.where(seen > 0, np.arange(v), self.base)
+        first, second = np.divmod(chunk.pairs, v)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            m1, m2 = factors[0] * words**GROWTH, factors[1] * pairs**GROWTH
+            p2 = np.where(words[first] > 0, (pairs + m1[first] * p1[second]) / (words[first] + m1[first]), p1[second])
+            pair, third = np.divmod(chunk.triples, v)
+            last = np.empty(len(triples), np.int64)
+            last[chunk.triple] = chunk.pair[chunk.later]  # the pair that ends a triple
+            p3 = np.where(pairs[pair] > 0, (triples + m2[pair] * p2[last]) / (pairs[pair] + m2[pair]), p2[last])
+            lost = [np.where(c > 0, np.log10(m / (c + m)), 0.0) for c, m in ((words, m1), (pairs, m2))]
+        self.failure = np.concatenate((*lost, [0.0]))
+        self.fallback = np.concatenate((np.full(v, self.base), second, [self.base]))
+        two, three = np.flatnonzero(pairs > 0), np.flatnonzero(triples > 0)
+        self.keys = np.concatenate((chunk.pairs[two], v * v + chunk.triples[three]))
+        self.weight = np.log10(np.concatenate((p2[two], p3[three])))
+        # a pair that ends a text is no history: its state has no arcs and nothing is read from it
+        self.target = np.concatenate((v + two, v + last[three]))
+        self.begin = chunk.start if words[chunk.start] > 0 else self.base
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(states, weights) after reading a word in each state."""
+        state, weight = state.copy(), np.zeros(len(state))
+        open_ = np.arange(len(state))
+        while len(open_):
+            s, w = state[open_], word[open_]
+            at_root = s == self.base
+            done = open_[at_root]
+            weight[done] += self.root[word[done]]
+            state[done] = self.after_root[word[done]]
+            open_, s, w = open_[~at_root], s[~at_root], w[~at_root]
+            key = s * self.size + w
+            at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+            hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
+            taken, at = open_[hit], at[hit]
+            weight[taken] += self.weight[at]
+            state[taken] = self.target[at]
+            open_ = open_[~hit]
+            weight[open_] += self.failure[state[open_]]
+            state[open_] = self.fallback[state[open_]]
+        return state, weight
+
+    def walk(self, word: np.ndarray, at: np.ndarray, lane: int = LANE) -> np.ndarray:
+        """The sum of the weights along each text. lane: two at least."""
+        size = np.diff(at)
+        lanes = -(-size // lane)
+        text = np.repeat(np.arange(len(size)), lanes)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = at[text] + nth * lane
+        end = np.minimum(begin + lane, at[text + 1])
+        order = np.argsort(begin - end, kind="stable")  # longest first: lanes that are done are the last ones
+        text, nth, begin, end = text[order], nth[order], begin[order], end[order]
+        state = np.full(len(text), self.begin)
+        warm = np.flatnonzero(nth > 0)
+        if len(warm):  # the two tokens before a lane bring it to its state from the root
+            now = np.full(len(warm), self.base)
+            for back in (2, 1):
+                now, _ = self.step(now, word[begin[warm] - back])
+            state[warm] = now
+        total = np.zeros(len(text))
+        length = end - begin
+        for i in range(int(length.max()) if len(length) else 0):
+            n = int(np.searchsorted(-length, -i, side="left"))  # lanes longer than i
+            state[:n], more = self.step(state[:n], word[begin[:n] + i])
+            total[:n] += more
+        return np.bincount(text, weights=total, minlength=len(size))
+
+
+def score_texts(docs: DataFrame, *, learn: Column, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """id, held_out (not learn), n_tokens, n_known, train_tokens, base_score (words alone), score of every row."""
     spark = docs.sparkSession
-    parts = 2 * slots(spark)
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(text_col).alias("text"))
     chunks = stage(_chunks(narrow, chunk_tokens), "chunks")
+    parts = max(2 * slots(spark), -(-chunks.count() // CHUNKS_TO_A_PART))
     answers = stage(_requests(chunks, parts).groupBy("part", "kind").applyInArrow(_answer, _ANSWER), "totals")
-    sums = answers.where(F.col("kind") == WORD).agg(F.sum("total").alias("total"), F.sum("known").alias("known")).collect()[0]
-    total, known = int(sums["total"] or 0), int(sums["known"] or 0)
-    schema = schema_of("id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    held = _histogram(answers)
+    total, known = held[WORD].get(-1, 0), sum(n for k, n in held[WORD].items() if k >= 0)
+    factors = mass_factors(held)
+    schema = T.StructType([T.StructField("id", narrow.schema["id"].dataType), *schema_of("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         tables = []
         sent = right.to_pylist()
+        arrow = to_arrow_schema(schema)
         for row in left.to_pylist():
             c = Chunk(row["sizes"], row["vocabulary"], row["words"], row["learn"])
-            words, pairs = c.counts()
-            words[:-1] = _filled(words[:-1], c.hashes[:-1], [a for a in sent if a["kind"] == WORD], parts)
-            words[-1] = words[-2]
-            pairs = _filled(pairs, c.pair_hashes(), [a for a in sent if a["kind"] == PAIR], parts)
-            held = Automaton(words, pairs, *np.divmod(c.pairs, len(c.hashes)), total, known, mass)
+            counts = c.counts()
+            for kind, names in enumerate(c.names()):
+                counts[kind][: len(names)] = _filled(counts[kind][: len(names)], names, [a for a in sent if a["kind"] == kind], parts)
+            counts[WORD][c.start] = counts[WORD][c.end]
+            held = Automaton(c, counts, total, known, factors)
             n = np.diff(c.at)
-            columns = [row["ids"], [not x for x in row["learn"]], n, np.add.reduceat((words > 0)[c.word].astype(np.int64), c.at[:-1]), np.full(len(n), total), np.add.reduceat(held.root[c.word], c.at[:-1]), held.walk(c.pair, c.at)]
-            arrow = to_arrow_schema(schema)
+            columns = [row["ids"], [not x for x in row["learn"]], n, np.add.reduceat((counts[WORD] > 0)[c.word].astype(np.int64), c.at[:-1]), np.full(len(n), total), np.add.reduceat(held.root[c.word], c.at[:-1]), held.walk(c.word, c.at)]
             tables.append(pa.table([pa.array(x, f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow))
-        return pa.concat_tables(tables) if tables else to_arrow_schema(schema).empty_table()
+        return pa.concat_tables(tables) if tables else arrow.empty_table()
 
     return chunks.groupBy("chunk").cogroup(answers.select("chunk", "part", "kind", "places", "totals").groupBy("chunk")).applyInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -199,27 +199,47 @@ def test_descent_reaches_the_least_loss_of_a_small_problem():
 # language model
 
 
-def brute_lm(rows, learn, mass):
+def brute_lm(rows, learn):
     def tokens(text):
-        return [*WORD.findall(lower(text)), "</end>"]
+        return ["<start>", *WORD.findall(lower(text)), "</end>"]
 
-    words, pairs, after = Counter(), Counter(), Counter()
+    words, seen = Counter(), {1: Counter(), 2: Counter()}  # continuations by history of one and of two
     for (_, text, *_), own in zip(rows, learn, strict=True):
         if own:
             seq = tokens(text)
-            words.update(seq)
-            pairs.update(zip(["<start>", *seq[:-1]], seq, strict=True))
-            after.update(["<start>", *seq[:-1]])
+            words.update(seq[1:])
+            for size in (1, 2):
+                seen[size].update(tuple(seq[i - size : i + 1]) for i in range(size, len(seq)))
+    after = {}
+    for size in (1, 2):
+        after[size] = Counter()
+        for gram, n in seen[size].items():
+            after[size][gram[:-1]] += n
+    factor = {}
+    for size in (1, 2):
+        once, lo, hi = sum(n == 1 for n in seen[size].values()), 1e-3, 1e6
+        for _ in range(100):
+            a = (lo * hi) ** 0.5
+            expected = sum(c * a * c**0.75 / (c - 1 + a * c**0.75) for c in after[size].values())
+            lo, hi = (a, hi) if expected < once else (lo, a)
+        factor[size] = a
     n, v = sum(words.values()), len(words)
+
+    def p(history, w):
+        if not history:
+            return (words[w] + 1) / (n + v + 1)
+        c = after[len(history)][history]
+        if not c:
+            return p(history[1:], w)
+        m = factor[len(history)] * c**0.75
+        return (seen[len(history)][(*history, w)] + m * p(history[1:], w)) / (c + m)
+
     out = []
     for (doc, text, *_), own in zip(rows, learn, strict=True):
         seq = tokens(text)
-        base = score = 0.0
-        for h, w in zip(["<start>", *seq[:-1]], seq, strict=True):
-            p = (words[w] + 1) / (n + v + 1)
-            base += math.log10(p)
-            score += math.log10((pairs[h, w] + mass * p) / (after[h] + mass))
-        out.append((doc, not own, len(seq), sum(words[w] > 0 for w in seq), n, base, score))
+        scored = [p(tuple(seq[max(0, i - 2) : i]), seq[i]) for i in range(1, len(seq))]
+        base = [p((), w) for w in seq[1:]]
+        out.append((doc, not own, len(seq) - 1, sum(words[w] > 0 for w in seq[1:]), n, sum(map(math.log10, base)), sum(map(math.log10, scored))))
     return out
 
 
@@ -229,7 +249,7 @@ def test_scores_equal_brute_force(odd, odd_rows, chunk):
 
     learn = [doc is None or zlib.crc32(str(doc).encode()) % 7 != 2 for doc, *_ in odd_rows]
     found = lm_score.score_texts(odd, learn=~holdout("doc_id", 7, 2), chunk_tokens=chunk).collect()
-    expected = brute_lm(odd_rows, learn, lm_score.MASS)
+    expected = brute_lm(odd_rows, learn)
     key = lambda r: (str(r[0]), r[2], round(r[5], 4))
     for a, b in zip(sorted(map(tuple, found), key=key), sorted(expected, key=key), strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
@@ -242,13 +262,37 @@ def test_scores_without_training_and_without_rows(odd, odd_rows, none, clashing)
     assert lm_score.score_texts(clashing, learn=F.lit(True)).count() == len(odd_rows)
 
 
-def test_probabilities_after_any_word_sum_to_one():
-    words, state, word = np.array([3, 2, 4, 3]), np.array([0, 0, 1, 3]), np.array([1, 2, 0, 2])  # three words, the start
-    arcs = np.array([1, 2, 2, 3])
-    held = lm_score.Automaton(words, arcs, state, word, 9, 3, 2.5)
-    for s in range(3):
-        seen = {w: 10.0**a for a, st, w in zip(held.arc, state, word, strict=True) if st == s}
-        rest = 10.0 ** held.failure[s] * sum(10.0 ** held.root[w] for w in range(3) if w not in seen)
-        unknown = 10.0 ** held.failure[s] / 13
-        if sum(arcs[state == s]) == words[s]:
-            assert sum(seen.values()) + rest + unknown == pytest.approx(1)
+def automaton(texts, factors=(2.5, 0.7)):
+    texts = [np.array(t) for t in texts]
+    size = np.array([len(t) for t in texts], "<u4")
+    hashes = np.arange(1, 1 + max((int(t.max()) for t in texts if len(t)), default=-1) + 1, dtype="<u8") * np.uint64(7919)
+    chunk = lm_score.Chunk(lm_score.to_planes(size), lm_score.to_planes(hashes), lm_score.to_planes(np.concatenate(texts).astype("<u4")), [True] * len(texts))
+    counts = chunk.counts()
+    return chunk, lm_score.Automaton(chunk, counts, int(counts[0][:-1].sum()), int((counts[0][:-1] > 0).sum()), factors)
+
+
+def test_probabilities_after_any_history_sum_to_one():
+    chunk, held = automaton([[0, 1, 2, 0, 1, 0], [0, 1, 1], [2, 2, 2, 0, 1], []])
+    words = np.array([w for w in range(len(chunk.hashes)) if w != chunk.start])
+    ending = set((len(chunk.hashes) + np.flatnonzero(chunk.pairs % len(chunk.hashes) == chunk.end)).tolist())
+    for state in range(held.base + 1):
+        if state != chunk.end and state not in ending:
+            _, weight = held.step(np.full(len(words), state), words)
+            unknown = 10.0 ** path_to_root(held, state) / (chunk.counts()[0][:-1].sum() + len(words) + 1)
+            assert (10.0**weight).sum() + unknown == pytest.approx(1)
+
+
+def path_to_root(held, state):
+    total = 0.0
+    while state != held.base:
+        total += held.failure[state]
+        state = held.fallback[state]
+    return total
+
+
+def test_lanes_change_nothing():
+    rng = np.random.default_rng(3)
+    chunk, held = automaton([rng.integers(0, 9, n).tolist() for n in (0, 1, 2, 3, 50, 51, 400)])
+    whole = held.walk(chunk.word, chunk.at, 1000)
+    for lane in (2, 3, 7, 50):
+        assert held.walk(chunk.word, chunk.at, lane) == pytest.approx(whole, rel=1e-12)
