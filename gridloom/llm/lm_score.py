@@ -326,6 +326,8 @@ class Automaton:
             state[done] = self.after_root[word[done]]
             open_, s, w = open_[~at_root], s[~at_root], w[~at_root]
             key = s * self.size + w
+            order = np.argsort(key)  # searched in order, neighbours are near in memory
+            open_, key = open_[order], key[order]
             at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
             hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
             taken, at = open_[hit], at[hit]

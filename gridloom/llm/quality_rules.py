@@ -8,9 +8,12 @@ quantile is off by 3 % at most. Sketches merge by adding counts, which is what t
 aggregation does, so a hot source is summed before it is shuffled, and a sketch
 never has more than about a thousand buckets however many texts it covers.
 
-A threshold is ``q75 + spread * (q75 - q25)``, but never below a floor that
-ordinary prose stays under, nor above a ceiling that no acceptable text passes;
-groups of fewer than ``least`` texts take the sketch merged over everything. A text
+A threshold is ``q75 + spread * (q75 - q25)`` of the group's own distribution: there
+are no fixed limits, floors or ceilings. Some rules look at the texts that have any
+(``among``), since most texts repeat no line at all. So that few texts do not make a
+wild limit, a group's sketch is pooled with its language's, which is pooled with that
+of everything: ``prior`` texts' worth of the wider distribution are added to the
+narrower counts, at every size alike; a group of many texts is ruled by its own. A text
 is kept if it passes the base rules and every threshold of its own group.
 
 The thresholds are joined to the texts by (language, source). The table has one row
@@ -18,7 +21,10 @@ per group; its rows are counted and it is broadcast only up to ``broadcast_group
 rows, beyond which it is joined by shuffle, where Spark splits a hot group.
 
 Null text has no words and fails the base rules. Null language or source is a group
-of its own. Repeated rows are judged (and counted) like any rows.
+of its own. Repeated rows are judged (and counted) like any rows. Very long texts are
+taken whole, one at a time. An empty table gives no rows and no thresholds. ``judge``
+reads four columns and ignores others; ``keep_good`` keeps all, and its own step aside
+from clashing names.
 """
 
 from __future__ import annotations
@@ -38,13 +44,15 @@ _IS_SYMBOL[list(SYMBOLS)] = True
 _LEADS = (np.arange(256) & 0xC0) != 0x80
 
 FIGURES = [(n, "long") for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [("n_lines", "long")]
-#: name: (numerator, denominator, factor, floor, ceiling); a ratio is numerator * factor div denominator.
+#: name: (numerator, denominator, factor, among, spread); a ratio is numerator * factor div denominator; its quartiles are those of all texts, or of those with some.
 RULES = {
-    "symbols": ("n_symbols", "word_chars", 1000, 60, 200),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 500, 800),
-    "long_words": ("word_chars", "n_words", 10, 120, 250),
+    "symbols": ("n_symbols", "word_chars", 1000, "all", 3),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, "some", 1),
+    "long_words": ("word_chars", "n_words", 10, "all", 3),
 }
 QUARTERS = (25, 75)
+#: A text counts as so many in whole-number sketches, so that shares of the wider distribution can be added.
+UNIT = 1_000_000
 
 
 def _runs(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -122,35 +130,50 @@ def ratio(rule: str, of) -> Column:
     return F.floor(of(top) * factor / F.greatest(of(bottom), F.lit(1))).cast("long")
 
 
-def group_thresholds(figures: DataFrame, groups: list[str], *, spread: int = 3, least: int = 200) -> DataFrame:
-    """A row for each group: the groups, then a threshold by rule (column ``max_<rule>``).
+def group_thresholds(figures: DataFrame, groups: list[str], *, prior: int = 200) -> DataFrame:
+    """A row for each group: the groups, then a threshold by rule (column ``max_<rule>``, null where no text sets one).
 
-    figures: the group columns and the FIGURES. Sketches cover every row.
+    figures: the group columns, from wide to narrow, and the FIGURES. Sketches cover every row.
     """
-    rows = figures.select(*groups, F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), bucket(ratio(r, F.col)).alias("bucket")) for r in RULES])).alias("x"))
-    sketch = rows.groupBy(*groups, "x.rule", "x.bucket").agg(F.count("*").alias("n"))
-    sketch = sketch.select(*groups, F.col("rule"), F.col("bucket"), F.col("n"))
-    whole = sketch.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
-
-    def quartiles(s: DataFrame, by: list[str]) -> DataFrame:
-        held = s.groupBy(*by).agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("held"))
-        summed = F.aggregate(
-            "held",
-            F.struct(F.lit(0).cast("long").alias("sum"), *[F.lit(None).cast("long").alias(f"q{q}") for q in QUARTERS]),
-            lambda a, x: F.struct((a["sum"] + x["n"]).alias("sum"), *[F.coalesce(a[f"q{q}"], F.when((a["sum"] + x["n"]) * 100 >= F.col("total") * q, x["bucket"])).alias(f"q{q}") for q in QUARTERS]),
-        )
-        return held.select(*by, "total", summed.alias("s")).select(*by, "total", *[bucket_top(F.col(f"s.q{q}")).alias(f"q{q}") for q in QUARTERS])
-
-    def limits(s: DataFrame, by: list[str]) -> DataFrame:
-        names = F.create_map(*[x for r, (_, _, _, floor, top) in RULES.items() for x in (F.lit(r), F.array(F.lit(floor), F.lit(top)))])
-        bound = names[F.col("rule")]
-        limit = F.least(F.greatest(F.col("q75") + spread * (F.col("q75") - F.col("q25")), bound[0]), bound[1])
-        return quartiles(s, [*by, "rule"]).select(*by, "rule", "total", limit.cast("long").alias("limit"))
-
-    own = limits(sketch, groups)
-    every = limits(whole, []).select("rule", F.col("limit").alias("every"))  # a row for each rule
-    chosen = own.join(F.broadcast(every), "rule").select(*groups, "rule", F.when(F.col("total") >= least, F.col("limit")).otherwise(F.col("every")).alias("limit"))
-    return chosen.groupBy(*groups).agg(*[F.max(F.when(F.col("rule") == r, F.col("limit"))).alias(f"max_{r}") for r in RULES])
+    measured = [F.struct(F.lit(r).alias("rule"), F.when((F.lit(among == "all")) | (F.col(top) > 0), bucket(ratio(r, F.col))).alias("bucket")) for r, (top, _, _, among, _) in RULES.items()]
+    rows = figures.select(*groups, F.explode(F.array(*measured)).alias("x")).where("x.bucket is not null")
+    own = rows.groupBy(*groups, "x.rule", "x.bucket").agg((F.count("*") * UNIT).alias("n")).select(*groups, "rule", "bucket", "n")
+    own = stage(own, "sketch")  # a thousand buckets or so for each group and rule at most
+    pooled = None
+    for depth in range(len(groups) + 1):
+        by = groups[:depth]
+        level = own.groupBy(*by, "rule", "bucket").agg(F.sum("n").alias("n"))
+        if pooled is not None:
+            wider = groups[: depth - 1]
+            whole = pooled.groupBy(*wider, "rule").agg(F.sum("n").alias("whole")) if wider else pooled.groupBy("rule").agg(F.sum("n").alias("whole"))
+            share = _join_safe(pooled, whole, [*wider, "rule"]).select(*wider, "rule", "bucket", F.floor(F.col("n") / F.col("whole") * (prior * UNIT)).cast("long").alias("n"))
+            held = own.select(*by).distinct()
+            more = _join_safe(held, share, wider).select(*by, "rule", "bucket", "n")
+            level = level.unionByName(more).groupBy(*by, "rule", "bucket").agg(F.sum("n").alias("n"))
+        pooled = level
+
+    held = pooled.groupBy(*groups, "rule").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("held"))
+    summed = F.aggregate(
+        "held",
+        F.struct(F.lit(0).cast("long").alias("sum"), *[F.lit(None).cast("long").alias(f"q{q}") for q in QUARTERS]),
+        lambda a, x: F.struct((a["sum"] + x["n"]).alias("sum"), *[F.coalesce(a[f"q{q}"], F.when((a["sum"] + x["n"]).cast("decimal(38,0)") * 100 >= F.col("total").cast("decimal(38,0)") * q, x["bucket"])).alias(f"q{q}") for q in QUARTERS]),
+    )
+    least, most = (bucket_top(F.col(f"s.q{q}")) for q in QUARTERS)
+    spread = F.create_map(*[x for r, rule in RULES.items() for x in (F.lit(r), F.lit(rule[4]))])[F.col("rule")]
+    limits = held.select(*groups, "rule", summed.alias("s")).select(*groups, "rule", (most + spread * (most - least)).cast("long").alias("limit"))
+    return limits.groupBy(*groups).agg(*[F.max(F.when(F.col("rule") == r, F.col("limit"))).alias(f"max_{r}") for r in RULES])
+
+
+def _join_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """left with right's other columns, where ``on`` is equal or null on both sides; every row meets every row where ``on`` is empty and right is a sketch of everything."""
+    names = {c: f"__{c}" for c in on}
+    other = right.select(*[F.col(c).alias(names[c]) for c in on], *[c for c in right.columns if c not in on])
+    if not on:
+        return left.join(F.broadcast(other))  # the sketch of everything: some thousand rows
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(names[c]))
+    return left.join(other, match).drop(*names.values())
 
 
 def _judged(df: DataFrame, thresholds: DataFrame, groups: dict[str, str], figure, broadcast_groups: int) -> tuple[DataFrame, Column, Column, list[str]]:
@@ -168,7 +191,7 @@ def _judged(df: DataFrame, thresholds: DataFrame, groups: dict[str, str], figure
     failed = base_failed(F.col(figure("n_words")), F.col(figure("n_repeat_words")))
     passes = F.lit(True)
     for r in RULES:
-        passes = passes & (ratio(r, lambda c: F.col(figure(c))) <= F.col(names[f"max_{r}"]))
+        passes = passes & F.coalesce(ratio(r, lambda c: F.col(figure(c))) <= F.col(names[f"max_{r}"]), F.lit(True))
     return joined, failed, ~failed & passes, [names[f"max_{r}"] for r in RULES]
 
 
@@ -184,8 +207,9 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", broadcast_groups: int = 50_000) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
     marked, names = append_columns(docs, text_col, FIGURES, text_figures)
+    marked = stage(marked, "figures")  # read once, judged from here
     of = dict(zip([n for n, _ in FIGURES], names, strict=True))
-    narrow = map_texts(docs.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text")), ["lang", "source", "text"], ", ".join(f"{n} {t}" for n, t in FIGURES), lambda batch: text_figures(batch.column(2)))
-    limits = stage(group_thresholds(narrow, ["lang", "source"]), "thresholds")
+    figures = marked.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), *[F.col(of[n]).alias(n) for n, _ in FIGURES])
+    limits = stage(group_thresholds(figures, ["lang", "source"]), "thresholds")
     joined, _, kept, _ = _judged(marked, limits, {"lang": lang_col, "source": source_col}, of.__getitem__, broadcast_groups)
     return joined.where(kept).select(*[F.col(f"`{c}`") for c in docs.columns])

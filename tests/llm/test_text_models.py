@@ -50,24 +50,50 @@ def brute_top(b):
     return ((b - power * 32 + 1) << power) - 1
 
 
-def brute_verdicts(rows, spread=3, least=200):
+def brute_limits(figures, prior=200, unit=1_000_000):
+    """limit by (lang, source, rule)"""
+    limits = {}
+    for rule, (top, bottom, factor, among, spread) in quality_rules.RULES.items():
+        values = [(lang, source, brute_bucket(f[top] * factor // max(f[bottom], 1))) for lang, source, f in figures if among == "all" or f[top] > 0]
+
+        def pooled(wider, of, narrow, values=values):
+            counts = Counter()
+            for *group, b in values:
+                if tuple(group[: len(narrow)]) == narrow:
+                    counts[b] += unit
+            if wider is not None:
+                for b, n in wider.items():
+                    counts[b] += math.floor(n / sum(wider.values()) * (prior * unit))
+            return counts
+
+        everything = pooled(None, values, ())
+        for lang, source in {(lang, source) for lang, source, _ in figures}:
+            counts = everything
+            for narrow in ((lang,), (lang, source)):
+                counts = pooled(counts, values, narrow)
+            if counts:
+                q, total = [], sum(counts.values())
+                for p in (25, 75):
+                    at = 0
+                    for b in sorted(counts):
+                        at += counts[b]
+                        if 100 * at >= p * total:
+                            q.append(brute_top(b))
+                            break
+                limits[lang, source, rule] = q[1] + spread * (q[1] - q[0])
+    return limits
+
+
+def brute_verdicts(rows):
     figures = [(lang, source, dict(zip([n for n, _ in quality_rules.FIGURES], brute_figures(text), strict=True))) for _, text, lang, source, _ in rows]
-
-    def limit(values, floor, top):
-        buckets = sorted(map(brute_bucket, values))
-        q = [brute_top(buckets[-(-len(buckets) * p // 100) - 1]) for p in (25, 75)]
-        return min(max(q[1] + spread * (q[1] - q[0]), floor), top)
-
+    limits = brute_limits(figures)
     out = []
     for lang, source, f in figures:
         failed = f["n_words"] < 20 or 100 * f["n_repeat_words"] > 30 * f["n_words"]
         kept = not failed
-        for top, bottom, factor, floor, ceiling in quality_rules.RULES.values():
-            def of(g, top=top, bottom=bottom, factor=factor):
-                return g[top] * factor // max(g[bottom], 1)
-
-            own = [of(g) for a, b, g in figures if (a, b) == (lang, source)]
-            kept &= of(f) <= limit(own if len(own) >= least else [of(g) for _, _, g in figures], floor, ceiling)
+        for rule, (top, bottom, factor, _, _) in quality_rules.RULES.items():
+            if (lang, source, rule) in limits:
+                kept &= f[top] * factor // max(f[bottom], 1) <= limits[lang, source, rule]
         out.append((*f.values(), failed, kept))
     return out
 
@@ -77,24 +103,36 @@ def test_rules_equal_brute_force(odd, odd_rows):
     assert Counter(map(tuple, found.collect())) == Counter((r[0], *v) for r, v in zip(odd_rows, brute_verdicts(odd_rows), strict=True))
 
 
-def test_thresholds_of_large_groups_are_their_own(spark):
+def test_thresholds_follow_their_groups(spark):
     rng = random.Random(4)
     rows = []
-    for source, share in (("clean", 0.0), ("noisy", 0.08)):
+    for source, share in (("clean", 0.0), ("noisy", 0.3)):
         for i in range(260):
             words = [rng.choice(["alpha", "beta", "gamma"]) + str(rng.randint(0, 999)) + ("#" if rng.random() < share else "") for _ in range(60)]
             rows.append((len(rows), " ".join(words), "en", source, 0))
     rows.append((9000, " ".join("word%d$$$" % i for i in range(60)), "en", "clean", 0))
+    rows.append((9001, " ".join("word%d#" % i for i in range(60)), "en", "clean", 0))
+    rows.append((9002, " ".join("word%d#" % i for i in range(60)), "en", "few", 0))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     found = quality_rules.judge(docs)
     names = [n for n, _ in quality_rules.FIGURES]
     assert Counter(map(tuple, found.select("doc_id", *names, "base_failed", "kept").collect())) == Counter((r[0], *v) for r, v in zip(rows, brute_verdicts(rows), strict=True))
     limits = {r["source"]: r["max_symbols"] for r in found.join(docs.select("doc_id", "source"), "doc_id").select("source", "max_symbols").distinct().collect()}
-    assert limits["clean"] <= limits["noisy"]
+    assert 0 < limits["noisy"] and len(set(limits.values())) == 3
     kept = {r["doc_id"] for r in found.where("kept").collect()}
     assert 9000 not in kept and len(kept) > 500
 
 
+def test_thresholds_differ_between_groups_of_documents(spark):
+    import os
+
+    if not os.path.exists("/root/testdata/sf0.01/documents.parquet"):
+        pytest.skip("no tables")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = quality_rules.judge(docs).select("max_symbols", "max_dup_lines", "max_long_words").distinct()
+    assert found.count() > 3
+
+
 def test_rules_keep_columns_and_take_nothing(clashing, none, odd, odd_rows):
     kept = quality_rules.keep_good(clashing)
     assert kept.columns == clashing.columns
