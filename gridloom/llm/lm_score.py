@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm import _ragged as R
+from gridloom.llm._ragged import from_planes, from_sorted_planes, sorted_planes, to_planes
 from gridloom.llm._spark import schema_of, slots, stage
 
 CHUNK_TOKENS = 3_000_000
@@ -56,24 +57,6 @@ END, START = np.uint64(0xE4D), np.uint64(0x57A47)
 WORD, PAIR, TRIPLE = 0, 1, 2
 
 
-def to_planes(x: np.ndarray) -> bytes:
-    """Whole numbers as byte planes, which compress where high bytes are alike."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
-
-
-def from_planes(data: bytes, kind: str) -> np.ndarray:
-    kind = np.dtype(kind)
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
-
-
-def sorted_planes(x: np.ndarray) -> bytes:
-    return to_planes(np.diff(x, prepend=x.dtype.type(0)))
-
-
-def from_sorted_planes(data: bytes, kind: str) -> np.ndarray:
-    return np.cumsum(from_planes(data, kind), dtype=kind)
-
-
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sorted distinct values, place of each item among them, how often each occurs)."""
     order = np.argsort(x)

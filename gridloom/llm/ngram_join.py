@@ -5,18 +5,25 @@ text of fewer words is one shingle; without words it is empty and linked with
 nothing). Two texts link when percent * |union| <= 100 * |intersection|; a component
 is closed under links. Results are exact up to collisions of 64-bit hashes.
 
-1. A counting sketch of fixed size (COUNTERS numbers) over all texts orders shingles,
-   rarest first, ties by hash: any order that all tasks share gives exact results.
-2. Every text gets its size, a 128-bit digest of its set and a parity sketch of at
-   least two bits a shingle (a power of two, so that sketches fold to the narrower
-   width). Equal sets become one class, so copies, however many, are one set.
-3. Each set's prefix, the first n - ceil(t n) + 1 shingles, one of which two linked
-   sets must share, is dealt by shingle, packed. Only shingles that several sets
-   share go on. Sets of compatible size whose parity sketches differ in at most
-   (n + m)(1 - t)/(1 + t) bits (no linked pair differs in more) are candidates; a
-   spanning forest of them leaves a task, never all pairs. A shingle of very many
-   sets is split by set; leaders of its parts, with the reach of what they stand for,
-   are compared once more. Components of the forests bound the links.
+1. Every text gets its size, a 128-bit digest of its set and a parity sketch whose
+   width is a power of two of at least twelve times the share of bits in which linked
+   sets may differ. Equal sets become one class, so copies, however many, are one set.
+2. Signatures find what may link without a common shingle being enough. Sizes are cut
+   into intervals such that linked sets lie in one or in neighbouring ones; a set
+   works in the families of its own interval and the next, so linked sets share one. A
+   family hashes shingles into a fixed number of groups; a signature is the sum of the
+   hashes of a group's shingles. Linked sets differ in d shingles at most, d known from
+   the size, which touch d groups at most: a set with more than d groups that are not
+   empty has a signature in common with every set it links to. A set with fewer also
+   posts finer groups, until it has more than d, or a group for each shingle. Two linked
+   sets meet at the coarser of the levels at which either has enough. Texts that share
+   only frequent shingles share no signature, so the volume is linear in the input.
+3. Signatures are dealt by hash, packed; the number of parts follows the input. Only
+   those that several sets share go on. Sets of compatible size whose parity sketches
+   differ in at most (n + m)(1 - t)/(1 + t) bits (no linked pair differs in more) are
+   candidates; a spanning forest of them leaves a task, never all pairs. A signature of
+   very many sets is split by set; leaders of its parts, with the reach of what they
+   stand for, are compared once more. Components of the forests bound the links.
 4. Candidate components are cut into blocks of bounded size. In a block, sets go into
    a prefix tree over the global order; a probe walks it with its overlap so far,
    skips subtrees that cannot reach the overlap they need, and links at the ends. Each
@@ -25,9 +32,13 @@ is closed under links. Results are exact up to collisions of 64-bit hashes.
    leads others have no links between their sets (the Jaccard distance is a metric);
    nearer ones that are not yet connected have their sets joined.
 
-Null text is empty. Ids are meant to be distinct; rows that share one are judged each
-by its own set. Columns
-besides id and text are ignored by ``components_of`` and kept by ``keep_one``.
+Shingles are ordered by their hash, the same order in every task.
+
+Null text is empty. A row without an id has its n_shingles and a null component, and is
+linked with nothing. Ids are meant to be distinct: rows that share one have each their
+own n_shingles, and links of either may join both. Very long texts are taken whole, one
+at a time. An empty table gives no rows. Columns besides id and text are ignored by
+``components_of`` and kept by ``keep_one``. percent must be above 50.
 """
 
 from __future__ import annotations
@@ -44,10 +55,10 @@ from gridloom.llm import _ragged as R
 from gridloom.llm._spark import schema_of, slots, stage
 from gridloom.operators.components import connected_components
 
-COUNTERS = 1 << 20
 BLOCK = 128
-POSTED = 1_000_000
-PARITY = 512
+POSTED = 4_000_000
+PART_POSTINGS = 4_000_000
+PARITY = 128
 SPLIT = 256
 BROADCAST_ROWS = 300_000
 POSTING = np.dtype([("token", "<u8"), ("id", "<i8")])
@@ -79,39 +90,79 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np
         yield lo, hashed, np.searchsorted(owner, np.arange(len(at)))
 
 
-def counter(hashed: np.ndarray) -> np.ndarray:
-    return (hashed >> np.uint64(44)).astype(np.int64)
-
-
-def frequency_sketch(texts: DataFrame, k: int) -> np.ndarray:
-    """COUNTERS counts of shingles by text; summed in two steps, 4 MB whatever the input."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        total = np.zeros(COUNTERS, np.uint64)
-        for batch in batches:
-            for _, hashed, _ in shingle_sets(batch.column(0), k):
-                total += np.bincount(counter(hashed), minlength=COUNTERS).astype(np.uint64)
-        counts = np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int32()), pa.array([counts], pa.binary())], ["part", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(COUNTERS, np.uint64)
-        for c in table.column("counts"):
-            total += np.frombuffer(c.as_py(), "<u4")
-        return pa.table({"part": pa.array([0], pa.int32()), "counts": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
-
-    sums = texts.mapInArrow(run, "part int, counts binary")
-    for _ in range(2):
-        sums = sums.groupBy("part").applyInArrow(add, "part int, counts binary")
-    found = sums.collect()  # one row
-    return np.frombuffer(bytes(found[0]["counts"]), "<u4") if found else np.zeros(COUNTERS, np.uint32)
+class Families:
+    """Size intervals and the number of groups of each family, for one percentage."""
 
-
-def needed(n: int, percent: int) -> int:
-    """Shingles that a set of n shares with any set it links to, at least."""
-    return -(-percent * n // 100)
+    def __init__(self, percent: int, largest: int):
+        if percent <= 50:
+            raise ValueError("percent must be above 50")
+        self.percent = percent
+        low = [1]
+        while low[-1] <= largest:
+            low.append(100 * low[-1] // percent + 1)
+        low.append(100 * low[-1] // percent + 1)
+        self.low = np.array(low, np.int64)
+        self.top = self.low[1:] - 1  # the largest size of each interval
+        self.groups = np.array([self._groups(i) for i in range(len(self.top))], np.int64)
+
+    def _groups(self, i: int) -> int:
+        """Groups of family i: enough that nearly all of its sets have more than ``apart`` that are not empty."""
+        least = int(self.low[max(i - 1, 0)])
+        wanted = max(int(self.apart(np.array([n]), i)[0]) + 1 for n in (least, int(self.low[i]), int(self.top[i])))
+        g = wanted + 1
+        while g < 4 * least:
+            empty = np.exp(-least / g)
+            if g * (1 - empty) - 3 * np.sqrt(g * empty) >= wanted:
+                break
+            g += max(1, g // 16)
+        return g
+
+    def interval(self, n: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.low, n, side="right") - 1
+
+    def apart(self, n: np.ndarray, family: np.ndarray | int) -> np.ndarray:
+        """In how many shingles a set of n differs at most from a set that it links to in the family."""
+        p = self.percent
+        return np.minimum(n * (100 - p) // p, (n + self.top[family]) * (100 - p) // (100 + p))
+
+    def signatures(self, hashed: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(signatures, set of each) of the non-empty sets hashed[at[i]:at[i+1]]; sets that link to no other set may have none."""
+        size = np.diff(at)
+        out, owner = [], []
+        mixed = R.mix(hashed + np.uint64(0x51))
+        for step in (0, 1):
+            family = self.interval(size) + step
+            apart = self.apart(size, family)
+            left = np.flatnonzero(apart > 0)
+            level = 0
+            while len(left):
+                n = size[left]
+                groups = np.minimum(self.groups[family[left]] << level, 1 << 40)
+                single = groups >= 4 * n  # a group for each shingle
+                first = np.concatenate(([0], np.cumsum(n)))
+                place = np.arange(int(first[-1])) + np.repeat(at[left] - first[:-1], n)
+                of = np.repeat(np.arange(len(left)), n)
+                salt = R.mix((family[left].astype(np.uint64) << np.uint64(8)) + np.uint64(level))
+                spot = (R.mix(hashed[place] ^ np.repeat(salt, n)) >> np.uint64(24)).astype(np.int64)  # 40 bits
+                if single.any():
+                    one = single[of]
+                    own = R.mix(hashed[place[one]] + np.repeat(salt, n)[one])
+                    out.append(own)
+                    owner.append(left[of[one]])
+                    keep = ~one
+                    place, of, spot = place[keep], of[keep], spot[keep]
+                room = np.where(single, 0, groups)
+                base = np.concatenate(([0], np.cumsum(room)))
+                key = base[of] + ((spot >> 8) * room[of] >> 32)
+                total, count = np.zeros(int(base[-1]), np.uint64), np.bincount(key, minlength=int(base[-1]))
+                np.add.at(total, key, mixed[place])
+                full = np.flatnonzero(count)
+                of_group = np.repeat(np.arange(len(left)), room)[full]
+                out.append(R.mix(total[full] + R.mix(salt[of_group] + (full - base[of_group]).astype(np.uint64))))
+                owner.append(left[of_group])
+                enough = single | (np.bincount(of_group, minlength=len(left)) > apart[left])
+                left, level = left[~enough], level + 1
+        return (np.concatenate(out), np.concatenate(owner)) if out else (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
 def digests(hashed: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -127,9 +178,9 @@ def digests(hashed: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def parity(hashed: np.ndarray) -> bytes:
+def parity(hashed: np.ndarray, percent: int) -> bytes:
     """Bit i: whether an odd number of shingles have hash i modulo the width."""
-    width = max(PARITY, 1 << (2 * len(hashed) - 1).bit_length())
+    width = max(PARITY, 1 << (12 * len(hashed) * (100 - percent) // (100 + percent)).bit_length())
     bit = (R.mix(hashed + np.uint64(77)) >> np.uint64(32)).astype(np.int64) % width
     return np.packbits((np.bincount(bit, minlength=width) & 1).astype(np.uint8)).tobytes()
 
@@ -164,7 +215,7 @@ def part_of(token: np.ndarray, parts: int) -> np.ndarray:
 _SIGNED = "id long, n int, h1 long, h2 long, parity binary"
 
 
-def _signatures(texts: DataFrame, k: int) -> DataFrame:
+def _signed(texts: DataFrame, k: int, percent: int) -> DataFrame:
     """id, n, h1, h2 of each text; parity where the task meets the set for the first time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,61 +230,63 @@ def _signatures(texts: DataFrame, k: int) -> DataFrame:
                 for name, a, b in zip(one.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
                     fresh = a < b and name not in seen
                     seen.add(name)
-                    bits.append(parity(hashed[a:b]) if fresh else None)
+                    bits.append(parity(hashed[a:b], percent) if fresh else None)
             join = lambda x, t: pa.array(np.concatenate(x).astype(t) if x else np.empty(0, t))
             yield pa.RecordBatch.from_arrays([batch.column(0), join(n, np.int32), join(h1, np.int64), join(h2, np.int64), pa.array(bits, pa.binary())], ["id", "n", "h1", "h2", "parity"])
 
     return texts.mapInArrow(run, schema_of(_SIGNED))
 
 
-def _postings(texts: DataFrame, shared, k: int, percent: int, parts: int) -> DataFrame:
-    """part, rows: (shingle, set) of the prefixes of the sets that a task meets, packed by hash range of the shingle."""
+def _postings(texts: DataFrame, k: int, percent: int, largest: int, parts: int) -> DataFrame:
+    """part, tokens, ids: (signature, set) of the sets that a task meets, packed by hash range of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = shared.value
+        families = Families(percent, largest)
         seen: set[int] = set()
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
         def made() -> pa.RecordBatch:
-            rows = np.concatenate(held)
-            part = part_of(rows["token"], parts)
-            order = np.argsort(part, kind="stable")
-            rows, cut = rows[order], np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+            token, name = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(token)
+            token, name = token[order], name[order]
+            cut = np.searchsorted(part_of(token, parts), np.arange(parts + 1)).tolist()
             own = [p for p in range(parts) if cut[p] < cut[p + 1]]
-            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([rows[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary())], ["part", "rows"])
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([R.sorted_planes(token[cut[p] : cut[p + 1]]) for p in own], pa.binary()), pa.array([name[cut[p] : cut[p + 1]].tobytes() for p in own], pa.binary())], ["part", "tokens", "ids"])
 
         for batch in batches:
             for _, hashed, at in shingle_sets(batch.column(0), k):
-                names = digests(hashed, at)[0].tolist()
-                rank = (sketch[counter(hashed)].astype(np.uint64) << np.uint64(32)) | (hashed & np.uint64(0xFFFFFFFF))
-                for name, a, b in zip(names, at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    n = b - a
-                    if not n or name in seen:
-                        continue
-                    seen.add(name)
-                    own, length = rank[a:b], n - needed(n, percent) + 1
-                    tokens = hashed[a:b]
-                    if length < n:  # equal ranks are taken whole
-                        tokens = tokens[own <= np.partition(own, length - 1)[length - 1]]
-                    rows = np.empty(len(tokens), POSTING)
-                    rows["token"], rows["id"] = tokens, name
-                    held.append(rows)
-                    count += len(rows)
+                names = digests(hashed, at)[0]
+                size = np.diff(at)
+                new = []
+                for i, name in enumerate(names.tolist()):
+                    if size[i] and name not in seen:
+                        seen.add(name)
+                        new.append(i)
+                new = np.array(new, np.int64)
+                first = np.concatenate(([0], np.cumsum(size[new])))
+                token, of = families.signatures(hashed[np.arange(int(first[-1])) + np.repeat(at[new] - first[:-1], size[new])], first)
+                held.append((token, names[new[of]]))
+                count += len(token)
                 if count >= POSTED:
                     yield made()
                     held, count = [], 0
         if count:
             yield made()
 
-    return texts.select("text").mapInArrow(run, schema_of("part int, rows binary"))
+    return texts.select("text").mapInArrow(run, schema_of("part int, tokens binary, ids binary"))
 
 
 def _shared_only(parts: int):
-    """Of a part's postings those of shingles that several sets share; very large ones split by set over other parts."""
+    """Of a part's postings those of signatures that several sets share; very large ones split by set over other parts."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = np.unique(np.concatenate([np.frombuffer(r.as_py(), POSTING) for r in table.column("rows")]))
+        token = np.concatenate([R.from_sorted_planes(r.as_py(), "<u8") for r in table.column("tokens")])
+        rows = np.empty(len(token), POSTING)
+        rows["token"], rows["id"] = token, np.concatenate([np.frombuffer(r.as_py(), "<i8") for r in table.column("ids")])
+        order = np.lexsort((rows["id"], rows["token"]))
+        rows = rows[order]
+        rows = rows[np.concatenate(([True], rows[1:] != rows[:-1]))]
         first = np.flatnonzero(np.concatenate(([True], rows["token"][1:] != rows["token"][:-1])))
         size = np.diff(np.append(first, len(rows)))
         several = np.repeat(size > 1, size)
@@ -406,7 +459,7 @@ class Union:
             self.up[max(i, j)] = min(i, j)
 
 
-def ordered_sets(texts: pa.Array, sketch: np.ndarray, k: int) -> tuple[list[np.ndarray], int]:
+def ordered_sets(texts: pa.Array, k: int) -> tuple[list[np.ndarray], int]:
     """Each text's shingles as increasing numbers of the shared order within these texts, and how many numbers there are."""
     hashed, sizes = [], []
     for _, h, at in shingle_sets(texts, k):
@@ -415,13 +468,9 @@ def ordered_sets(texts: pa.Array, sketch: np.ndarray, k: int) -> tuple[list[np.n
     if not hashed:
         return [], 0
     flat = np.concatenate(hashed)
-    values, place = np.unique(flat, return_inverse=True)
-    order = np.lexsort((values, sketch[counter(values)]))
-    rank = np.empty(len(values), np.int64)
-    rank[order] = np.arange(len(values))
-    numbers = rank[place]
+    values, numbers = np.unique(flat, return_inverse=True)
     at = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).tolist()
-    return [np.sort(numbers[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], len(values)
+    return [numbers[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], len(values)
 
 
 def link_block(sets: list[np.ndarray], universe: int, percent: int, pivot: int = -1) -> tuple[list[tuple[int, int]], list[int]]:
@@ -470,7 +519,7 @@ def join_sets(left: list[np.ndarray], right: list[np.ndarray], universe: int, pe
             within[x] = False
 
 
-def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
+def _links(members: DataFrame, k: int, percent: int) -> DataFrame:
     """src, dst: links that join up the components of members (id, text, comp), whose comp bounds the links."""
     at_once = 2 * slots(members.sparkSession)
     sizes = stage(members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.max(F.struct("degree", "id"))["id"].alias("pivot")), "sizes")
@@ -482,7 +531,7 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
 
     def local(table: pa.Table) -> pa.Table:
         ids, texts = table.column("id").to_pylist(), table.column("text").combine_chunks()
-        sets, universe = ordered_sets(texts, sketch, k)
+        sets, universe = ordered_sets(texts, k)
         pivot = table.column("pivot")[0].as_py()
         links, leader = link_block(sets, universe, percent, ids.index(pivot) if pivot in ids else -1)
         union = Union(len(ids))
@@ -510,7 +559,7 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
 
     def between(table: pa.Table) -> pa.Table:
         ids, part, more = (table.column(c).to_pylist() for c in ("id", "part", "more"))
-        sets, universe = ordered_sets(table.column("text").combine_chunks(), sketch, k)
+        sets, universe = ordered_sets(table.column("text").combine_chunks(), k)
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
         left, right = [i for i, p in enumerate(part) if p == a], [i for i, p in enumerate(part) if p == b]
         bound = lambda i, j: 100 - (100 - percent) * (1 + more[i] + more[j])
@@ -535,30 +584,37 @@ def _links(members: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
     open_pairs = stage(open_pairs.where("src_c <> dst_c").select("src", "dst"), "open")
     if not open_pairs.limit(1).count():
         return links
-    sided = open_pairs.select("src", "dst", F.explode(F.array(F.struct(F.col("src").alias("leader"), F.lit(0).alias("side")), F.struct(F.col("dst").alias("leader"), F.lit(1).alias("side")))).alias("x")).select("src", "dst", "x.leader", "x.side")
-    texts = held.select("id", "text").join(done.select("id", "leader").distinct(), "id")
-    met = sided.join(texts, "leader").repartition(at_once, "src", "dst")
+    # a leader's sets meet another's in blocks, so neither is ever whole in one task
+    led = done.select("id", "leader").distinct()
+    room = led.groupBy("leader").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("runs"))
+    led = stage(led.join(room, "leader").withColumn("run", F.pmod(F.xxhash64("id"), F.col("runs"))), "led")
+    room = led.select("leader", "runs").distinct()
+    sided = open_pairs.join(room.select(F.col("leader").alias("src"), F.col("runs").alias("a_runs")), "src").join(room.select(F.col("leader").alias("dst"), F.col("runs").alias("b_runs")), "dst")
+    sided = sided.withColumn("a", F.explode(F.expr("sequence(0L, a_runs - 1)"))).withColumn("b", F.explode(F.expr("sequence(0L, b_runs - 1)")))
+    sided = sided.select("src", "dst", "a", "b", F.explode(F.array(F.struct(F.col("src").alias("leader"), F.col("a").alias("run"), F.lit(0).alias("side")), F.struct(F.col("dst").alias("leader"), F.col("b").alias("run"), F.lit(1).alias("side")))).alias("x")).select("src", "dst", "a", "b", "x.leader", "x.run", "x.side")
+    texts = held.select("id", "text").dropDuplicates(["id"]).join(led.select("id", "leader", "run"), "id")
+    met = sided.join(texts, ["leader", "run"]).repartition(at_once, "src", "dst", "a", "b")
 
     def across(table: pa.Table) -> pa.Table:
         ids, side = table.column("id").to_pylist(), table.column("side").to_pylist()
-        sets, universe = ordered_sets(table.column("text").combine_chunks(), sketch, k)
+        sets, universe = ordered_sets(table.column("text").combine_chunks(), k)
         left, right = [i for i, s in enumerate(side) if s == 0], [i for i, s in enumerate(side) if s == 1]
         found = [(ids[left[i]], ids[right[j]]) for i, j, _, _ in join_sets([sets[i] for i in left], [sets[j] for j in right], universe, percent)]
         return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in range(2)], names=["src", "dst"])
 
-    return links.unionByName(stage(met.groupBy("src", "dst").applyInArrow(across, "src long, dst long"), "across"))
+    return links.unionByName(stage(met.groupBy("src", "dst", "a", "b").applyInArrow(across, "src long, dst long"), "across"))
 
 
 def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id of every row; component_id is the least id reachable by links. ids are whole numbers; a null id has a null component."""
     spark = docs.sparkSession
-    parts = 2 * slots(spark)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = frequency_sketch(narrow.select("text"), k)
-    order = spark.sparkContext.broadcast(sketch)  # COUNTERS numbers, whatever the input
-    rows = stage(_signatures(narrow, k), "sets")
+    rows = stage(_signed(narrow, k, percent), "sets")
+    size = rows.agg(F.max("n"), F.sum(F.col("n").cast("long"))).first()
+    largest, shingles = int(size[0] or 0), int(size[1] or 0)
+    parts = max(2 * slots(spark), shingles * (100 - percent) // (50 * PART_POSTINGS))
     classes = stage(rows.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "classes")
-    shared = stage(_postings(narrow.where("id is not null"), order, k, percent, parts).groupBy("part").applyInArrow(_shared_only(parts), schema_of("part int, rows binary")), "shared")
+    shared = stage(_postings(narrow.where("id is not null"), k, percent, largest, parts).groupBy("part").applyInArrow(_shared_only(parts), schema_of("part int, rows binary")), "shared")
     sketches = rows.where("parity is not null").select("h1", "n", "parity").dropDuplicates(["h1"])
     asked = shared.mapInArrow(_sets_of, schema_of("part int, id long"))
     told = asked.join(sketches, asked["id"] == sketches["h1"]).select("part", "id", "n", "parity")
@@ -571,7 +627,7 @@ def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     chosen = stage(found.select("rep", F.col("component").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree")), "chosen")
     wanted = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
     members = narrow.join(wanted, narrow["id"] == wanted["rep"]).select("id", "text", "comp", "degree")
-    labels = connected_components(_links(members, sketch, k, percent))
+    labels = connected_components(_links(members, k, percent))
     named = stage(classes.join(labels, classes["rep"] == labels["node"], "left").select("n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")), "named")
     return rows.select("id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 

@@ -144,13 +144,47 @@ def test_components_of_odd_rows(odd, odd_rows, none, clashing):
     rows = [r for r in odd_rows if r[0] is not None]
     found = Counter(map(tuple, ngram_join.components_of(odd.where("doc_id is not null"), k=3, percent=90).collect()))
     assert found == brute_components(rows, 3, 90)
+    every = Counter(map(tuple, ngram_join.components_of(odd, k=3, percent=90).collect()))
+    nameless = every - found
+    assert found - every == Counter() and all(doc is None and component is None and n > 0 for doc, n, component in nameless)
+    assert sum(nameless.values()) == len(odd_rows) - len(rows)
     assert ngram_join.components_of(none).count() == 0
+    with pytest.raises(ValueError, match="percent"):
+        ngram_join.Families(50, 10)
     kept = ngram_join.keep_one(clashing, k=3, percent=90)
     assert kept.columns == clashing.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert 220 in ids and 221 not in ids and 201 not in ids and None in ids and 100 in ids and 101 in ids
 
 
+@pytest.mark.parametrize("percent", [51, 60, 80, 90, 97])
+def test_linked_sets_share_a_signature(percent):
+    import numpy as np
+
+    rng = np.random.default_rng(percent)
+    families = ngram_join.Families(percent, 3000)
+    sets = []
+    for n in [1, 2, 3, 5, 9, 10, 11, 19, 20, 21, 50, 101, 400, 1500] * 6:
+        one = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        while True:  # as far from it as a link allows, by chance
+            gone, new = int(rng.integers(0, n + 1)), int(rng.integers(0, n + 1))
+            both, union = n - gone, n + new
+            if gone + new and 100 * both >= percent * union:
+                break
+            if rng.random() < 0.02:
+                gone, new = 0, max(1, int(n * (100 - percent) / percent))
+                break
+        two = np.concatenate((one[gone:], rng.integers(0, 1 << 63, new).astype(np.uint64)))
+        sets.append((one, two, 100 * (n - gone) >= percent * (n + new)))
+    flat = [np.sort(x) for a, b, _ in sets for x in (a, b)]
+    at = np.concatenate(([0], np.cumsum([len(x) for x in flat])))
+    token, of = families.signatures(np.concatenate(flat), at)
+    by = {i: set(token[of == i].tolist()) for i in range(len(flat))}
+    assert all(by[2 * i] & by[2 * i + 1] for i, (_, _, linked) in enumerate(sets) if linked)
+    strangers = sum(bool(by[2 * i] & by[2 * j]) for i in range(len(sets)) for j in range(i))
+    assert strangers == 0
+
+
 def test_link_block_joins_up_every_component():
     import numpy as np
 
@@ -190,6 +224,5 @@ def test_links_of_sets_whose_leaders_share_nothing(spark, monkeypatch):
     sets = {la: range(60), a: range(100), lb: [*range(60, 95), *range(100, 125)], b: range(25, 125), pivot: range(1000, 1100)}
     rows = [(i, " ".join(f"w{n}" for n in v), 0, int(i == pivot)) for i, v in sets.items()]
     members = spark.createDataFrame(rows, "id long, text string, comp long, degree long")
-    sketch = ngram_join.frequency_sketch(members.select("text"), 1)
-    links = {frozenset((r.src, r.dst)) for r in ngram_join._links(members, sketch, 1, 60).collect()}
+    links = {frozenset((r.src, r.dst)) for r in ngram_join._links(members, 1, 60).collect()}
     assert links == {frozenset((la, a)), frozenset((lb, b)), frozenset((a, b))}
