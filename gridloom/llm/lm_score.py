@@ -29,7 +29,7 @@ tokens. Each chunk asks for the states and arcs its own texts can reach:
 3. Chunk and totals meet; the chunk's slice of the automaton is built and walked.
 
 Every training text is counted, nothing is pruned. Words, pairs and triples are known by
-64-bit hashes. Null text is empty (one token, the end). Repeated rows count and score as
+56-bit hashes when they are dealt. Null text is empty (one token, the end). Repeated rows count and score as
 they stand; rows that share an id give a row each. A very long text is a chunk of its
 own. Columns besides id and text are ignored, whatever their names; an empty table gives
 none. Without training texts every word has probability 1 / (0 + 0 + 1).
@@ -49,7 +49,7 @@ from gridloom.llm import _ragged as R
 from gridloom.llm._ragged import from_planes, from_sorted_planes, sorted_planes, to_planes
 from gridloom.llm._spark import schema_of, slots, stage
 
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_500_000
 GROWTH = 0.75
 LANE = 512
 CHUNKS_TO_A_PART = 4
@@ -63,8 +63,8 @@ def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     held = x[order]
     new = np.ones(len(x), bool)
     new[1:] = held[1:] != held[:-1]
-    place = np.empty(len(x), np.int64)
-    place[order] = np.cumsum(new) - 1
+    place = np.empty(len(x), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
     first = np.flatnonzero(new)
     return held[first], place, np.diff(np.append(first, len(x)))
 
@@ -91,7 +91,7 @@ def _chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
             order = np.argsort(-counts, kind="stable")
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
-            row = [[chunk], [ids], [learn], [to_planes(np.concatenate(sizes).astype("<u4"))], [to_planes(values[order])], [to_planes(rank[place])]]
+            row = [[chunk], [ids], [learn], [packed(to_planes(np.concatenate(sizes).astype("<u4")))], [packed(to_planes(values[order]))], [packed(to_planes(rank[place]))]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -129,14 +129,20 @@ class Chunk:
         last[self.at[1:] - 1] = True
         self.word[~last] = words
         self.word[last] = self.end
+        del words
         before[1:] = self.word[:-1]
         before[self.at[:-1]] = self.start
+        before *= v
+        before += self.word
         self.learned = np.repeat(np.array([bool(x) for x in learn], bool), size + 1)
-        self.pairs, self.pair, _ = distinct(before * v + self.word)
+        self.pairs, self.pair, _ = distinct(before)
         later = np.ones(n, bool)
         later[self.at[:-1]] = False
         self.later = np.flatnonzero(later)  # tokens with two before them, the start included
-        self.triples, self.triple, _ = distinct(self.pair[self.later - 1] * v + self.word[self.later])
+        before = self.pair[self.later - 1].astype(np.int64)
+        before *= v
+        before += self.word[self.later]
+        self.triples, self.triple, _ = distinct(before)
 
     def counts(self) -> list[np.ndarray]:
         """Of words, of pairs, of triples in training texts; the start counts once a text."""
@@ -145,13 +151,28 @@ class Chunk:
         return [words, np.bincount(self.pair[self.learned], minlength=len(self.pairs)), np.bincount(self.triple[self.learned[self.later]], minlength=len(self.triples))]
 
     def names(self) -> list[np.ndarray]:
-        """Hashes of the words (the start left out), pairs and triples. The least bit tells pairs that end a text."""
+        """56-bit hashes of the words (the start left out), pairs and triples. The least bit tells pairs that end a text."""
         v, p = len(self.hashes), R.powers(4)
         first, second = np.divmod(self.pairs, v)
         pairs = R.mix(self.hashes[first] * p[1] + self.hashes[second] * p[2])
         pair, third = np.divmod(self.triples, v)
-        pairs = (pairs & ~np.uint64(1)) | (second == self.end).astype(np.uint64)
-        return [self.hashes[:-1], pairs, R.mix(pairs[pair] * p[1] + self.hashes[third] * p[3])]
+        triples = R.mix(pairs[pair] * p[1] + self.hashes[third] * p[3])
+        pairs >>= np.uint64(8)
+        return [self.hashes[:-1] >> np.uint64(8), (pairs & ~np.uint64(1)) | (second == self.end).astype(np.uint64), triples >> np.uint64(8)]
+
+
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each 56-bit hash, by range."""
+    return ((hashes >> np.uint64(24)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def packed(planes: bytes) -> bytes:
+    """Planes without what their high bytes repeat."""
+    return pa.compress(planes, codec="zstd", asbytes=True) + len(planes).to_bytes(8, "little")
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), codec="zstd", asbytes=True)
 
 
 def _requests(chunks: DataFrame, parts: int) -> DataFrame:
@@ -161,14 +182,14 @@ def _requests(chunks: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c = Chunk(row["sizes"], row["vocabulary"], row["words"], row["learn"])
+                c = Chunk(*(unpacked(row[c]) for c in ("sizes", "vocabulary", "words")), row["learn"])
                 for kind, (hashes, counts) in enumerate(zip(c.names(), c.counts(), strict=True)):
                     order = np.argsort(hashes)
                     hashes, counts = hashes[order], counts[order].astype("<u4")
-                    part = ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+                    part = part_of(hashes, parts)
                     cut = np.searchsorted(part, np.arange(parts + 1)).tolist()
                     own = [p for p in range(parts) if cut[p] < cut[p + 1]]
-                    columns = [[row["chunk"]] * len(own), own, [kind] * len(own), [sorted_planes(hashes[cut[p] : cut[p + 1]]) for p in own], [to_planes(counts[cut[p] : cut[p + 1]]) for p in own]]
+                    columns = [[row["chunk"]] * len(own), own, [kind] * len(own), [packed(sorted_planes(hashes[cut[p] : cut[p + 1]])) for p in own], [packed(to_planes(counts[cut[p] : cut[p + 1]])) for p in own]]
                     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["chunk", "part", "kind", "hashes", "counts"])
 
@@ -191,8 +212,8 @@ def _answer(key: tuple, table: pa.Table) -> pa.Table:
     part, kind = key[0].as_py(), key[1].as_py()
     rows = table.sort_by("chunk")
     chunk = rows.column("chunk").to_pylist()
-    asked = [from_sorted_planes(x.as_py(), "<u8") for x in rows.column("hashes")]
-    own = [from_planes(x.as_py(), "<u4").astype(np.int64) for x in rows.column("counts")]
+    asked = [from_sorted_planes(unpacked(x.as_py()), "<u8") for x in rows.column("hashes")]
+    own = [from_planes(unpacked(x.as_py()), "<u4").astype(np.int64) for x in rows.column("counts")]
     values, place, _ = distinct(np.concatenate(asked))
     totals = np.bincount(place, weights=np.concatenate(own), minlength=len(values)).astype(np.int64)
     ending = (values & np.uint64(1)).astype(np.int64) if kind == PAIR else np.zeros(len(values), np.int64)
@@ -206,7 +227,7 @@ def _answer(key: tuple, table: pa.Table) -> pa.Table:
         lo += len(counts)
         more = np.flatnonzero(whole != counts)
         first = (np.append(levels, -1), np.append(numbers, total)) if i == 0 else (np.empty(0, np.int64),) * 2
-        for c, v in zip(out, (chunk[i], part, kind, sorted_planes(more.astype("<u4")), to_planes(whole[more].astype("<u8")), *(f.astype("<i8").tobytes() for f in first)), strict=True):
+        for c, v in zip(out, (chunk[i], part, kind, packed(sorted_planes(more.astype("<u4"))), packed(to_planes(whole[more].astype("<u8"))), *(f.astype("<i8").tobytes() for f in first)), strict=True):
             c.append(v)
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["chunk", "part", "kind", "places", "totals", "levels", "numbers"])
@@ -257,11 +278,11 @@ def mass_factors(held: dict[int, dict[int, int]]) -> tuple[float, float]:
 def _filled(counts: np.ndarray, hashes: np.ndarray, answers: list[dict], parts: int) -> np.ndarray:
     """The chunk's counts with the totals it was sent."""
     order = np.argsort(hashes)
-    part = ((hashes[order] >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+    part = part_of(hashes[order], parts)
     first = np.searchsorted(part, np.arange(parts + 1))
     out = counts.astype(np.int64)
     for a in answers:
-        out[order[first[a["part"]] + from_sorted_planes(a["places"], "<u4").astype(np.int64)]] = from_planes(a["totals"], "<u8").astype(np.int64)
+        out[order[first[a["part"]] + from_sorted_planes(unpacked(a["places"]), "<u4").astype(np.int64)]] = from_planes(unpacked(a["totals"]), "<u8").astype(np.int64)
     return out
 
 
@@ -293,6 +314,7 @@ class Automaton:
         two, three = np.flatnonzero(pairs > 0), np.flatnonzero(triples > 0)
         self.keys = np.concatenate((chunk.pairs[two], v * v + chunk.triples[three]))
         self.weight = np.log10(np.concatenate((p2[two], p3[three])))
+        del p2, p3, pair, third
         # a pair that ends a text is no history: its state has no arcs and nothing is read from it
         self.target = np.concatenate((v + two, v + last[three]))
         self.begin = chunk.start if words[chunk.start] > 0 else self.base
@@ -366,7 +388,7 @@ def score_texts(docs: DataFrame, *, learn: Column, id_col: str = "doc_id", text_
         sent = right.to_pylist()
         arrow = to_arrow_schema(schema)
         for row in left.to_pylist():
-            c = Chunk(row["sizes"], row["vocabulary"], row["words"], row["learn"])
+            c = Chunk(*(unpacked(row[c]) for c in ("sizes", "vocabulary", "words")), row["learn"])
             counts = c.counts()
             for kind, names in enumerate(c.names()):
                 counts[kind][: len(names)] = _filled(counts[kind][: len(names)], names, [a for a in sent if a["kind"] == kind], parts)
