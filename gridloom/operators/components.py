@@ -11,21 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from gridloom.plans.shared import keep
+from gridloom.plans.shared import drop, keep
 
 
-#: Up to so many rows a node's neighbours may meet in one task (16 bytes each); beyond, they are joined, so that a hub can be split.
-WINDOW_ROWS = 2_000_000
-
-
-def _least_around(pairs: DataFrame, rows: int) -> DataFrame:
-    """pairs (u, v) with m, the least v of u."""
-    if rows <= WINDOW_ROWS:
-        return pairs.withColumn("m", F.min("v").over(Window.partitionBy("u")))
-    least = keep(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
-    return pairs.join(least, "u")  # both sides are dealt anew here
+def _least_around(pairs: DataFrame) -> DataFrame:
+    """pairs (u, v) with m, the least v of u: summed up on the map side first, so that a hub's neighbours never meet in one task."""
+    return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
 
 
 def _mark(df: DataFrame) -> tuple:
@@ -41,12 +33,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     for _ in range(max_rounds):
         # large star: the neighbours above a node hang under the least around it
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hung = _least_around(both, 2 * mark[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = hung if mark[0] <= WINDOW_ROWS else keep(hung, "large")
+        hung = _least_around(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        large = keep(hung, "large")
         # small star: a node and its neighbours below it hang under the least of them
-        below = _least_around(large, mark[0])
+        below = _least_around(large)
         small = below.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p")).select("p.u", "p.v")
-        stars = keep(small.where("u <> v").distinct(), "components")
+        old, stars = stars, keep(small.where("u <> v").distinct(), "components")
+        drop(old, large)
         before, mark = mark, _mark(stars)
         if mark == before:
             break

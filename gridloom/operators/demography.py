@@ -91,13 +91,20 @@ def harmonise(df: DataFrame, source: str, *, small: Column | None = None, nl_act
     return df.withColumns(dict(zip(("floor_nb", "residential", "activity", "cultural_value"), made, strict=True)))
 
 
+def _hundredths(billionths: Column) -> Column:
+    """Billionths rounded half to even to two places."""
+    whole, rest = F.floor(billionths / 10_000_000).cast("long"), billionths % 10_000_000
+    up = (rest > 5_000_000) | ((rest == 5_000_000) & (whole % 2 == 1))
+    return (whole + up.cast("long")) / 100
+
+
 def building_grid(buildings: DataFrame, res: int) -> DataFrame:
     """Cells with the number, ground and floor area of buildings (boxes), in all and by use, by the area in the cell."""
     parts = overlay_cells(buildings, res)
     whole = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
     floor = F.col("area") * F.col("floor_nb")
-    number = F.least(F.col("area") / whole, F.lit(1.0))
-    aggs = {"number": half_even(F.sum(number), 2), "ground_area": half_even(F.sum("area")), "floor_area": half_even(F.sum(floor))}
+    billionths = F.floor(F.least(F.col("area") / whole, F.lit(1.0)) * 1e9 + 0.5).cast("long")  # whole numbers add up alike in any order
+    aggs = {"number": _hundredths(F.sum(billionths)), "ground_area": half_even(F.sum("area")), "floor_area": half_even(F.sum(floor))}
     for name, use in (("residential", "residential"), ("economic_activity", "activity"), ("cultural", "cultural_value")):
         aggs[f"{name}_ground_area"] = half_even(F.sum(F.col("area") * F.col(use)))
         aggs[f"{name}_floor_area"] = half_even(F.sum(floor * F.col(use)))
@@ -126,23 +133,45 @@ def people_statistics(people: DataFrame, keys: list[str], structure: dict[str, l
 def place_people(people: DataFrame, areas: DataFrame, unit: str, total: str, threshold: int = 0, seed: int = 0) -> DataFrame:
     """People with a place (px, py): the middle of the unit where it has at most ``threshold`` people, else evenly in its target boxes.
 
-    areas: boxes (unit, xmin, ymin, xmax, ymax, and total), one or several to a unit; places are fixed by the seed.
+    areas: boxes (unit, xmin, ymin, xmax, ymax, and total) that do not overlap, one or several to a unit; places are
+    fixed by the seed. Each person of a unit with a box gets one place; boxes without an area are left out.
     """
     size = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-    order = Window.partitionBy(unit).orderBy("xmin", "ymin", "xmax", "ymax")
-    spans = areas.select(unit, total, "xmin", "ymin", "xmax", "ymax", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("hi"), size.alias("s"), F.sum(size).over(Window.partitionBy(unit)).alias("whole"), *[f(c).over(Window.partitionBy(unit)).alias(f"u{c}") for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))])
+    held = Window.partitionBy(unit)
+    order = held.orderBy("xmin", "ymin", "xmax", "ymax")
+    boxes = areas.select(unit, total, "xmin", "ymin", "xmax", "ymax").where(size > 0)
+    until = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    spans = boxes.select("*", until.alias("hi"), F.row_number().over(order).alias("__n"), F.count("*").over(held).alias("__of"), *[f(c).over(held).alias(f"u{c}") for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))])
+    # each box begins where the one before it ends, the last one is open, so that a person meets one box exactly
+    spans = spans.withColumns({"lo": F.coalesce(F.lag("hi").over(order), F.lit(0.0)), "whole": F.max("hi").over(held)})
+    spans = spans.withColumn("hi", F.when(F.col("__n") == F.col("__of"), F.lit(float("inf"))).otherwise(F.col("hi"))).drop("__n", "__of")
     chance = lambda k: F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.col(unit), F.col("person")), F.lit(1 << 30)) / float(1 << 30)
     drawn = people.withColumns({"r0": chance(0), "r1": chance(1), "r2": chance(2)})
     pick = F.col("r0") * F.col("whole")
-    met = drawn.join(spans, unit).where((pick >= F.col("hi") - F.col("s")) & (pick < F.col("hi")))
+    met = drawn.join(spans, unit).where((pick >= F.col("lo")) & (pick < F.col("hi")))
     few = F.col(total) <= threshold
     px = F.when(few, (F.col("uxmin") + F.col("uxmax")) / 2).otherwise(F.col("xmin") + F.col("r1") * (F.col("xmax") - F.col("xmin")))
     py = F.when(few, (F.col("uymin") + F.col("uymax")) / 2).otherwise(F.col("ymin") + F.col("r2") * (F.col("ymax") - F.col("ymin")))
     return met.select(*people.columns, px.alias("px"), py.alias("py"))
 
 
+def disjoint(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """The union of the boxes of each key as boxes that do not overlap: strips between neighbouring x edges, with y spans merged."""
+    held = Window.partitionBy(*keys).orderBy("x0")
+    edges = boxes.select(*keys, F.explode(F.array("xmin", "xmax")).alias("x0")).distinct().withColumn("x1", F.lead("x0").over(held)).where("x1 is not null")
+    named = {k: f"__{k}" for k in keys}
+    met = edges.withColumnsRenamed(named)
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()]
+    strips = boxes.join(met, [*same, (F.col("xmin") <= F.col("x0")) & (F.col("x1") <= F.col("xmax"))]).select(*keys, "x0", "x1", "ymin", "ymax")
+    before = Window.partitionBy(*keys, "x0").orderBy("ymin", "ymax")
+    run = F.max("ymax").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    new = strips.withColumn("new", F.when(F.col("ymin") <= run, 0).otherwise(1))
+    runs = new.withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*keys, "x0", "x1", "run").agg(F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax")).select(*keys, F.col("x0").alias("xmin"), "ymin", F.col("x1").alias("xmax"), "ymax")
+
+
 def dasymetric_targets(units: DataFrame, candidates: DataFrame, size: float, unit: str = "unit") -> DataFrame:
-    """Unit boxes cut to the candidate boxes they overlap (several parts may result); the whole unit without any overlap."""
+    """Unit boxes cut to the union of the candidate boxes they overlap (in parts that do not overlap); the whole unit without any."""
     from gridloom.operators.spatial import spread
 
     a = spread(units, size)
@@ -151,6 +180,7 @@ def dasymetric_targets(units: DataFrame, candidates: DataFrame, size: float, uni
     first = (F.col("bx") == F.floor(x1 / size)) & (F.col("by") == F.floor(y1 / size))
     rest = [c for c in units.columns if c not in ("xmin", "ymin", "xmax", "ymax")]
     parts = a.join(b, ["bx", "by"]).where((x1 < x2) & (y1 < y2) & first).select(*rest, x1.alias("xmin"), y1.alias("ymin"), x2.alias("xmax"), y2.alias("ymax")).distinct()
+    parts = disjoint(parts, rest)
     whole = units.join(parts.select(unit).distinct(), unit, "left_anti")
     return parts.unionByName(whole.select(*parts.columns))
 

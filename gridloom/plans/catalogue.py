@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -260,10 +261,10 @@ def rasterise(spark, sf):
     return raster.rasterise_boxes(X.buildings(spark, sf), 50, "floor_nb", "id")
 
 
-@query("with recursive pop as (" + X.CTES["pop"] + "), px as (select distinct x, y, y * 10000000 + x as node from pop where pop >= 500), e as (select a.node as u, b.node as v from px a join px b on abs(a.x - b.x) + abs(a.y - b.y) = 1000), r(node, root) using key (node) as (select node, node from px union select e.v, min(r.root) from r join e on e.u = r.node left join recurring.r k on k.node = e.v where r.root < k.root group by 1) select px.x, px.y, r.root % 10000000 as px, r.root // 10000000 as py from px join r using (node)")
+@query("with recursive pop as (" + X.CTES["pop"] + "), px as (select x, y, y * 10000000 + x as node from pop group by 1, 2 having max(pop) >= 500), e as (select a.node as u, b.node as v from px a join px b on abs(a.x - b.x) + abs(a.y - b.y) = 1000), r(node, root) using key (node) as (select node, node from px union select e.v, min(r.root) from r join e on e.u = r.node left join recurring.r k on k.node = e.v where r.root < k.root group by 1) select px.x, px.y, r.root % 10000000 as px, r.root // 10000000 as py from px join r using (node)")
 def raster_patches(spark, sf):
-    pixels = X.pop_cells(spark, sf).where("pop >= 500").select("x", "y").distinct().withColumn("value", F.lit(1.0))
-    return raster.patches(pixels, 1000, least=1.0, equal=False).select("x", "y", c("patch.x").alias("px"), c("patch.y").alias("py"))
+    pixels = X.pop_cells(spark, sf).groupBy("x", "y").agg(F.max("pop").cast("double").alias("value"))
+    return raster.patches(pixels, 1000, least=500.0, equal=False).select("x", "y", c("patch.x").alias("px"), c("patch.y").alias("py"))
 
 
 # joins by place
@@ -285,24 +286,24 @@ def nearest_snap(spark, sf):
     return spatial.nearest(centres, X.pois(spark, sf), 2000.0).select("id", "target", F.round("distance", 4).alias("distance"))
 
 
-@query(sql("select id, box, round(sqrt(d2), 4) as distance from (select id, box, d2, min(d2) over (partition by id) as least from (select p.id, z.code as box, greatest(z.xmin - p.x, 0, p.x - z.xmax) ** 2 + greatest(z.ymin - p.y, 0, p.y - z.ymax) ** 2 as d2 from pop p, zones z where z.region = 2)) where d2 = least and d2 <= 3000 * 3000 union all select id, null, null from pop p where not exists (select 1 from zones z where z.region = 2 and greatest(z.xmin - p.x, 0, p.x - z.xmax) ** 2 + greatest(z.ymin - p.y, 0, p.y - z.ymax) ** 2 <= 3000 * 3000)", "pop", "zones"))
+@query(sql("select id, box, round(sqrt(d2), 4) as distance from (select id, box, d2, min(d2) over (partition by id) as least from (select p.id, z.code as box, greatest(z.xmin - p.x, 0, p.x - z.xmax) ** 2 + greatest(z.ymin - p.y, 0, p.y - z.ymax) ** 2 as d2 from pop p, zones z)) where d2 = least and d2 <= 3000 * 3000 union all select id, null, null from pop p where not exists (select 1 from zones z where greatest(z.xmin - p.x, 0, p.x - z.xmax) ** 2 + greatest(z.ymin - p.y, 0, p.y - z.ymax) ** 2 <= 3000 * 3000)", "pop", "zones"))
 def nearest_with_distance(spark, sf):
-    boxes = X.zones(spark, sf).where("region = 2").withColumnRenamed("code", "box")
+    boxes = X.zones(spark, sf).withColumnRenamed("code", "box")
     return spatial.nearest_boxes(X.pop_cells(spark, sf), boxes, 4000.0, 3000.0).select("id", "box", F.round("distance", 4).alias("distance"))
 
 
-@query(sql("select p.id, z.code as zone from poi p left join zones z on p.x > xmin and p.x < xmax and p.y > ymin and p.y < ymax and region <> 4", "poi", "zones"))
+@query(sql("select p.id, z.code as zone from poi p left join zones z on p.x > xmin and p.x < xmax and p.y > ymin and p.y < ymax ", "poi", "zones"))
 def point_in_zone(spark, sf):
-    boxes = X.zones(spark, sf).where("region <> 4").withColumnRenamed("code", "zone")
+    boxes = X.zones(spark, sf).withColumnRenamed("code", "zone")
     return spatial.points_in_boxes(X.pois(spark, sf), boxes, 4000.0).select("id", "zone")
 
 
-@query(sql("select p.id, coalesce(string_agg(distinct z.code, '-' order by z.code), '') as codes from pop p left join zones z on z.region in (0, 2) and greatest(z.xmin - (p.x + 1000), 0, p.x - z.xmax) ** 2 + greatest(z.ymin - (p.y + 1000), 0, p.y - z.ymax) ** 2 <= 1500 * 1500 group by 1", "pop", "zones"))
+@query(sql("select p.id, coalesce(string_agg(distinct z.code, '-' order by z.code), '') as codes from pop p left join zones z on greatest(z.xmin - (p.x + 1000), 0, p.x - z.xmax) ** 2 + greatest(z.ymin - (p.y + 1000), 0, p.y - z.ymax) ** 2 <= 1500 * 1500 group by 1", "pop", "zones"))
 def region_codes_within(spark, sf):
-    return spatial.codes_within(X.pop_cells(spark, sf), X.zones(spark, sf).where("region in (0, 2)"), 1000, 1500.0, 6000.0)
+    return spatial.codes_within(X.pop_cells(spark, sf), X.zones(spark, sf), 1000, 1500.0, 6000.0)
 
 
-@query(sql("select a.id as a, b.id as b, round(sqrt((a.x + 500 - b.x) ** 2 + (a.y + 500 - b.y) ** 2), 4) as distance from pop a, poi b where a.code = 1 and (a.x + 500 - b.x) ** 2 + (a.y + 500 - b.y) ** 2 <= 5000 * 5000", "pop", "poi"))
+@query(sql("select a.id as a, b.id as b, round(sqrt((a.x + 500 - b.x) ** 2 + (a.y + 500 - b.y) ** 2), 4) as distance from pop a, poi b where (a.x + 500 - b.x) ** 2 + (a.y + 500 - b.y) ** 2 <= 5000 * 5000", "pop", "poi"))
 def pairs_within_distance(spark, sf):
     left = X.pop_cells(spark, sf).select("id", (c("x") + 500).alias("x"), (c("y") + 500).alias("y"))
     return spatial.pairs_within(left, X.pois(spark, sf), 5000.0).select("a", "b", F.round("distance", 4).alias("distance"))
@@ -322,7 +323,7 @@ _PARTS = "parts as (select *, (least(xmax, cx + 100) - greatest(xmin, cx)) * (le
 _USES = ", ".join(f"round_even(sum(area * {u}), 0)::double as {n}_ground_area, round_even(sum(area * floor_nb * {u}), 0)::double as {n}_floor_area" for n, u in (("residential", "residential"), ("economic_activity", "activity"), ("cultural", "cultural_value")))
 
 
-@query(f"with buildings as ({X.CTES['buildings']}), {_PARTS} select cx as x, cy as y, round_even(sum(least(area / ((xmax - xmin) * (ymax - ymin))::double, 1)), 2) as number, round_even(sum(area), 0)::double as ground_area, round_even(sum(area * floor_nb), 0)::double as floor_area, {_USES} from parts group by 1, 2")
+@query(f"select * exclude (hundredths, rest), (hundredths + case when rest > 5000000 or (rest = 5000000 and hundredths % 2 = 1) then 1 else 0 end) / 100::double as number from (with buildings as ({X.CTES['buildings']}), {_PARTS} select cx as x, cy as y, cast(floor(sum(cast(floor(least(area / ((xmax - xmin) * (ymax - ymin))::double, 1) * 1e9::double + 0.5) as bigint)) / 1e7::double) as bigint) as hundredths, cast(sum(cast(floor(least(area / ((xmax - xmin) * (ymax - ymin))::double, 1) * 1e9::double + 0.5) as bigint)) as bigint) % 10000000 as rest, round_even(sum(area), 0)::double as ground_area, round_even(sum(area * floor_nb), 0)::double as floor_area, {_USES} from parts group by 1, 2)")
 def building_grid(spark, sf):
     return D.building_grid(X.buildings(spark, sf), 100)
 
@@ -469,12 +470,12 @@ def graph_from_sections(spark, sf):
     return made.groupBy("src", "dst").agg(F.round(F.min("w"), 6).alias("w"))
 
 
-@query(sql("select node, count(*) as degree from (select distinct least(src, dst) as a, greatest(src, dst) as b from edges where src % 7 = 0), unnest([a, b]) t(node) group by 1 having count(*) = 1", "edges"))
+@query(sql("select node, count(*) as degree from (select distinct least(src, dst) as a, greatest(src, dst) as b from edges), unnest([a, b]) t(node) group by 1 having count(*) = 1", "edges"))
 def graph_degree_one(spark, sf):
     return network.degrees(X.edges(spark, sf)).where("degree = 1")
 
 
-_COMPONENTS = "e as (select src as u, dst as v from edges where (src * 7 + dst) % 11 = 0), ee as (select u, v from e union select v, u from e), r(node, component) using key (node) as (select distinct u, u from ee union select ee.v, min(r.component) from r join ee on ee.u = r.node left join recurring.r k on k.node = ee.v where r.component < k.component group by 1)"
+_COMPONENTS = "e as (select src as u, dst as v from edges), ee as (select u, v from e union select v, u from e), r(node, component) using key (node) as (select distinct u, u from ee union select ee.v, min(r.component) from r join ee on ee.u = r.node left join recurring.r k on k.node = ee.v where r.component < k.component group by 1)"
 
 
 @query(sql(_COMPONENTS + " select node, component from r", "edges", recursive=True))
@@ -562,6 +563,22 @@ def building_harmonise(spark, sf):
     return D.harmonise(rows, "fr").select("id", "floor_nb", "residential", "activity", "cultural_value")
 
 
+_SOURCES = {
+    "nl": (["p_retailprice / 100 as `3dbag_b3_height_lod12`", "case p_partkey % 4 when 0 then 'woonfunctie,winkelfunctie' when 1 then 'celfunctie' when 2 then 'woonfunctie' end as gebruiksdoel", "case p_partkey % 3 when 0 then 'kerk|overig' when 1 then 'klooster, abdij' end as top10nl_typegebouw"], "greatest(ceil(p_retailprice / 100 / 3), 1)", "[0.5, 0, 1, 0][p_partkey % 4 + 1]", "[0.5, 1, 0, 0][p_partkey % 4 + 1]", "[0.5, 1, 0][p_partkey % 3 + 1]"),
+    "pl": (["cast(nullif(p_partkey % 6, 0) as int) as LKOND", "case p_partkey % 5 when 0 then 'Tak' else 'Nie' end as ZABYTEK", "case p_partkey % 4 when 0 then 'budynkiODwochMieszkaniach' when 1 then 'budynkiBiurowe' when 2 then 'budynkiKultuReligijnego' end as FUNOGBUD"], "coalesce(nullif(p_partkey % 6, 0), 1)", "[1, 0, 0, 0][p_partkey % 4 + 1]", "[0, 1, 0, 0][p_partkey % 4 + 1]", "case when p_partkey % 5 = 0 or p_partkey % 4 = 2 then 1 else 0 end"),
+    "it": (["case p_partkey % 4 when 0 then '0101' when 1 then '0602' when 2 then '9301' else '0501' end as edifc_uso", "case p_partkey % 3 when 0 then '0300' else '0100' end as edifc_ty", "'02' as edifc_mon"], "1", "[1, 0, 0.25, 0][p_partkey % 4 + 1]", "[0, 1, 0.25, 0][p_partkey % 4 + 1]", "case when p_partkey % 4 = 3 or p_partkey % 3 = 0 then 1 else 0 end"),
+    "lu": (["cast(case p_partkey % 4 when 0 then 0 when 1 then 41004 when 2 then 80000 else 50005 end as string) as NATURE", "250 + p_size as mean_z", "case p_partkey % 7 when 0 then -32767 else 250 end as dtm"], "case when p_partkey % 7 = 0 then 1 else ceil(p_size / 3.0::double) end", "[1, 0, 0, 0][p_partkey % 4 + 1]", "[0, 1, 1, 0][p_partkey % 4 + 1]", "[0, 1, 0, 1][p_partkey % 4 + 1]"),
+    "at": (["p_retailprice / 5 as HOEHE_OBJEKT_MAX"], "case when p_retailprice / 5 > 300 then 1 else greatest(ceil(p_retailprice / 5 / 3), 1) end", "case when p_size < 25 then 1 else 0 end", "case when p_size < 25 then 0 else 1 end", "0"),
+    "cz": (["p_size as size"], "1", "case when p_size < 25 then 1 else 0 end", "case when p_size < 25 then 0 else 1 end", "0"),
+}
+
+
+@query(" union all ".join(f"select '{n}' as source, p_partkey as id, cast({f} as bigint) as floor_nb, cast({r} as double) as residential, cast({a} as double) as activity, cast({v} as double) as cultural_value from part" for n, (_, f, r, a, v) in _SOURCES.items()))
+def building_harmonise_sources(spark, sf):
+    made = [D.harmonise(table(spark, sf, "part").selectExpr("p_partkey as id", "p_size", *fields), n, small=c("p_size") < 25).select(F.lit(n).alias("source"), "id", "floor_nb", "residential", "activity", "cultural_value") for n, (fields, *_) in _SOURCES.items()]
+    return reduce(DataFrame.unionByName, made)
+
+
 _PEOPLE = {"sex": ["sex_1", "sex_2"], "age": ["age_1", "age_2", "age_3"]}
 
 
@@ -649,7 +666,7 @@ def line_crossings(spark, sf):
     return crossings(lines, rings, 500.0).select("b", "x", "y")
 
 
-@query(sql(f"{_LABELS} select a, b, cost from (select node as a, (node * 13 + 5) % 1500 as b from sources) p left join (select source, node, cost from sp where cost <= 40) s on s.source = p.a and s.node = p.b", "edges", "sources", recursive=True))
+@query(sql(f"{_LABELS} select a, b, cost from (select node as a, (node * 13 + 5) % (select count(*) from customer) as b from sources) p left join (select source, node, cost from sp where cost <= 40) s on s.source = p.a and s.node = p.b", "edges", "sources", recursive=True))
 def pair_costs(spark, sf):
     n = table(spark, sf, "customer").count()
     pairs = X.sources(spark, sf).selectExpr("node as a", f"(node * 13 + 5) % {n} as b")

@@ -7,21 +7,50 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that ``keep`` made, by application, until they are dropped.
+_kept: dict[str, set[str]] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset (local runs)."""
+    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset and the master is local."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="gridloom-")
-        if not held.isDefined():
-            spark.sparkContext.setCheckpointDir(named)
+        if held.isDefined():
+            return held.get().rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="gridloom-")
+        spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage is cut, and a lost executor costs nothing that is done."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    _kept.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._kept_at = path
+    return made
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Delete tables that ``keep`` gave and nothing reads any more; others are left alone."""
+    for df in tables:
+        path = df.__dict__.pop("_kept_at", None) if df is not None else None
+        if path:
+            _delete(df.sparkSession, path)
+            _kept.get(df.sparkSession.sparkContext.applicationId, set()).discard(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every table that this application keeps. Results that were not written yet can no longer be read."""
+    for path in _kept.pop(spark.sparkContext.applicationId, set()):
+        _delete(spark, path)

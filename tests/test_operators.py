@@ -39,6 +39,47 @@ def test_k_nearest_of_a_path(spark):
     assert found == {(1, 1, 0, 1), (1, 3, 10, 2), (2, 1, 5, 1), (2, 3, 5, 2), (3, 3, 0, 1), (3, 1, 10, 2)}
 
 
+@pytest.mark.parametrize("tile", [None, "node div 10"])
+def test_costs_over_many_tiles(spark, monkeypatch, tile):
+    rng = random.Random(11)
+    edges = [(a, b, rng.randint(0, 9)) for a in range(60) for b in rng.sample(range(60), 3) if a != b]
+    frame = spark.createDataFrame(edges, "src long, dst long, w long")
+    origins = spark.createDataFrame([(s,) for s in (3, 17, 40)], "node long")
+    monkeypatch.setattr(paths, "ARCS", 30)
+    found = {tuple(r) for r in paths.k_nearest(frame, origins, 2, tile=tile).collect()}
+    assert found == brute_k_nearest(edges, [3, 17, 40], 2)
+    within = {(r.node, r.source, r.cost) for r in paths.reach(frame, origins, 12, tile=tile).collect()}
+    assert within == {(n, s, c) for s in (3, 17, 40) for n, _, c, _ in brute_k_nearest(edges, [s], 1) if c <= 12}
+
+
+def test_paths_over_arcs_without_cost(spark):
+    edges = spark.createDataFrame([(1, 2, 0), (2, 3, 1), (3, 2, 0), (2, 1, 0), (3, 4, 0), (4, 5, 2), (1, 5, 9)], "src long, dst long, w long")
+    assert [tuple(r) for r in paths.path_nodes(edges, 1, 3).orderBy("position").collect()] == [(0, 1, 0), (1, 2, 0), (2, 3, 1)]
+    assert [r.node for r in paths.path_nodes(edges, 1, 5).orderBy("position").collect()] == [1, 2, 3, 4, 5]
+    assert [tuple(r) for r in paths.path_nodes(edges, 4, 4).collect()] == [(0, 4, 0)]
+
+
+def test_every_person_is_placed_once(spark):
+    rng = random.Random(3)
+    boxes = [(1, 300, x, y, x + rng.random() + 0.1, y + rng.random() + 0.1) for x in range(7) for y in range(9)]
+    areas = spark.createDataFrame([tuple(map(float, b[2:])) + b[:2] for b in boxes], "xmin double, ymin double, xmax double, ymax double, unit long, total long")
+    people = spark.range(1, 301).selectExpr("1L as unit", "id as person")
+    placed = demography.place_people(people, areas, "unit", "total", seed=5)
+    assert sorted(r.person for r in placed.collect()) == list(range(1, 301))
+
+
+def test_targets_are_the_union_of_candidates(spark):
+    rng = random.Random(6)
+    homes = [(x, y, x + rng.randint(1, 9), y + rng.randint(1, 9)) for x, y in [(rng.randrange(30), rng.randrange(20)) for _ in range(25)]]
+    units = spark.createDataFrame([(1, 0.0, 0.0, 20.0, 20.0), (2, 20.0, 0.0, 40.0, 20.0), (3, 90.0, 90.0, 95.0, 95.0)], "unit long, xmin double, ymin double, xmax double, ymax double")
+    found = demography.dasymetric_targets(units, spark.createDataFrame([tuple(map(float, h)) for h in homes], "xmin double, ymin double, xmax double, ymax double"), 15.0).collect()
+    for unit, lo, hi in ((1, 0, 20), (2, 20, 40)):
+        cells = sorted((x, y) for x in range(lo, hi) for y in range(20) if any(a <= x < c and b <= y < d for a, b, c, d in homes))
+        made = sorted((x, y) for r in found if r.unit == unit for x in range(int(r.xmin), int(r.xmax)) for y in range(int(r.ymin), int(r.ymax)))
+        assert made == cells
+    assert [(r.xmin, r.xmax) for r in found if r.unit == 3] == [(90.0, 95.0)]
+
+
 def test_k_nearest_equals_dijkstra(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(60), rng.randrange(60), rng.randint(1, 9)) for _ in range(220)]
