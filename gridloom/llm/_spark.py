@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.plans.shared import shared_folder
+from gridloom.plans.shared import keep
 
 
 _SIMPLE = {"long": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "string": T.StringType, "boolean": T.BooleanType, "binary": T.BinaryType}
@@ -44,10 +43,15 @@ def schema_of(text: str) -> T.StructType:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the shared folder and read it back: short lineage that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return keep(df, name, compression="zstd")
+
+
+def whole_ids(df: DataFrame, column: str) -> Column:
+    """The column as long; an error where it does not hold whole numbers, which a cast would turn into nulls."""
+    kind = df.select(F.col(column)).schema[0].dataType
+    if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"{column} holds {kind.simpleString()}, not whole numbers")
+    return F.col(column).cast("long")
 
 
 def slots(spark: SparkSession) -> int:

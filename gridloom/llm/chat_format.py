@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import _ragged as R
-from gridloom.llm._spark import schema_of, slots
+from gridloom.llm._spark import schema_of, slots, whole_ids
 
 START, END = "<|im_start|>", "<|im_end|>"
 _ESCAPE = re.compile(r"<(\\*)\|(im_start|im_end)\|>")
@@ -96,7 +96,7 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A row for each conversation: conv_id, n_turns, formatted, loss_spans (array of byte start and length)."""
-    rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
+    rows = turns.select(whole_ids(turns, conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     dealt = rows.repartition(slots(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     schema = schema_of("conv_id long, n_turns long, formatted string, loss_spans array<struct<start:long,length:long>>")
 

@@ -7,15 +7,18 @@ texts the one with most code points before that stays, then the smallest id.
    a chunk, so a group of copies, however hot, leaves at most one text a chunk. Rows
    get (rep, idx): the chunk's group and their place in it. Written once to the
    shared folder.
+   A dictionary does this first summing up; whether texts of different chunks are
+   equal is decided by the tries.
 2. The chunk texts are dealt by length and content hash. A task inserts their full
    bytes into a compressed radix trie; a terminal node holds the best owner, the
-   number of rows and the chunk groups. Beyond a memory budget the trie writes its
+   number of rows and the chunk groups (16 bytes each, counted). Beyond a memory budget the trie writes its
    largest subtree to a temporary file and takes up that subtree after the others.
 3. Owners go back to rows by (rep, idx div SLOT): a key that covers SLOT rows at
    most, so a hot group is dealt evenly.
 
 Null text is the empty text (all empty texts are equal). Null ids come after all
-others. Of rows that are equal in id and text, one stays. Columns of ``docs`` keep
+others. Of rows that are equal in id and text, one stays. A very long text is a chunk of
+its own and one trie key. An empty table gives no rows. Columns of ``docs`` keep
 their names; the new ones step aside (see ``mark_copies``).
 """
 
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import pickle
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,6 +42,7 @@ SLOT = 128
 CHUNK_BYTES = 24 << 20
 TRIE_BYTES = 96 << 20
 NODE_BYTES = 400
+VALUE_BYTES = 16
 
 
 class Node:
@@ -92,6 +97,7 @@ class RadixTrie:
             self.bytes += NODE_BYTES
             node, pos = middle, pos + n
         node.value = value if node.value is None else self.merge(node.value, value)
+        self.bytes += VALUE_BYTES
         if self.bytes > self.budget:
             self.spill()
 
@@ -154,7 +160,7 @@ def _merge(old: list, new: list) -> list:
     """[best owner, rows, chunk groups]"""
     old[0] = min(old[0], new[0])
     old[1] += new[1]
-    old[2] += new[2]
+    old[2].extend(new[2])
     return old
 
 
@@ -241,14 +247,14 @@ def mark_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         trie = RadixTrie(_merge)
         for batch in batches:
             for r, n, chars, doc, i, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                trie.insert(normalised(body), [(-chars, doc is None, doc or 0, r, i), n, [(r, n)]])
+                trie.insert(normalised(body), [(-chars, doc is None, doc or 0, r, i), n, array("q", (r, n))])
         columns: list[list] = [[] for _ in range(6)]
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], owned.fieldNames())
 
         for (_, missing, doc, r, i), n, groups in trie.values():
-            for own, rows_of in groups:
+            for own, rows_of in zip(groups[::2], groups[1::2], strict=True):
                 for c, v in zip(columns, (own, (rows_of + SLOT - 1) // SLOT, None if missing else doc, r, i, n), strict=True):
                     c.append(v)
             if len(columns[0]) >= 20_000:

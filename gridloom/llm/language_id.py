@@ -12,10 +12,14 @@ Up to seven languages the code is exhaustive (every split once); beyond that it
 a fixed pseudo-random code of 12 bits per doubling of the languages.
 
 Counts are added up by language: each task sends one array of BUCKETS numbers for a
-language, summed in two steps, so the driver gets one array per language.
+language; FAN of them are summed at a time, in as many steps as the number of tasks
+asks for, so the driver gets one array per language.
 
 A text that is null or has no letter is `und` with score 0. Without any training
-language every text is `und`; with one, that one. Null languages are not learned.
+language every text is `und`; with one, that one. Null languages are not learned. Of
+languages that are equally near the first by name is taken, and the text is ambiguous.
+Repeated rows count and are told like any rows. Very long texts are taken whole, one at
+a time. Columns besides those named are ignored by ``predict`` and kept by ``keep_known``.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from gridloom.llm._spark import append_columns, map_texts
 
 BUCKETS = 1 << 15
 NEAR = 20.0
+FAN = 64
 UNKNOWN = "und"
 
 
@@ -125,18 +130,22 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", lear
                 counts = np.bincount(lang * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
                 for k in np.unique(codes[lo:hi]).tolist():
                     held[names[k]] = held.get(names[k], 0) + counts[k]
-        group = TaskContext.get().partitionId() % 64 if TaskContext.get() else 0
+        group = TaskContext.get().partitionId() if TaskContext.get() else 0
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([group] * len(held), pa.int64()), pa.array([c.astype("<i8").tobytes() for c in held.values()], pa.binary())], ["lang", "part", "counts"])
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
         total = np.zeros(BUCKETS, np.int64)
         for c in table.column("counts").to_pylist():
             total += np.frombuffer(c, "<i8")
-        return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "counts": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "part": pa.array([key[1].as_py()], pa.int64()), "counts": pa.array([total.tobytes()], pa.binary())})
 
+    tasks = max(rows.rdd.getNumPartitions(), 1)
     counted = rows.mapInArrow(run, "lang string, part long, counts binary")
-    for by in (["lang", "part"], ["lang"]):
-        counted = counted.groupBy(*by).applyInArrow(add, "lang string, counts binary")
+    while True:
+        counted = counted.withColumn("part", F.floor(F.col("part") / FAN)).groupBy("lang", "part").applyInArrow(add, "lang string, part long, counts binary")
+        tasks = -(-tasks // FAN)
+        if tasks == 1:
+            break
     found = sorted((r["lang"], np.frombuffer(bytes(r["counts"]), "<i8").astype(float)) for r in counted.collect())
     return model([x for x, _ in found], [c for _, c in found])
 

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm import _ragged as R
-from gridloom.llm._spark import schema_of, slots, stage
+from gridloom.llm._spark import schema_of, slots, stage, whole_ids
 from gridloom.operators.components import connected_components
 
 BLOCK = 128
@@ -608,7 +608,7 @@ def _links(members: DataFrame, k: int, percent: int) -> DataFrame:
 def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id of every row; component_id is the least id reachable by links. ids are whole numbers; a null id has a null component."""
     spark = docs.sparkSession
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    narrow = docs.select(whole_ids(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     rows = stage(_signed(narrow, k, percent), "sets")
     size = rows.agg(F.max("n"), F.sum(F.col("n").cast("long"))).first()
     largest, shingles = int(size[0] or 0), int(size[1] or 0)

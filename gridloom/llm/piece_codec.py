@@ -15,7 +15,9 @@ side by side in no piece. Characters that no piece holds become byte tokens. Pie
 arise depends on the order of equal scores; segments with two spaces or more are
 merged directly. Segments are remembered in a worker up to a bound.
 
-Null text is empty: no ids, and "" decoded.
+Null text is empty: no ids, and "" decoded. Very long texts are taken whole; one word that
+is very long takes memory in proportion to it. Repeated rows, empty tables and other
+columns: see ``encode_decode``.
 """
 
 from __future__ import annotations

@@ -8,10 +8,13 @@ length. A linear hinge-loss model is fitted by dual coordinate descent. Margins
 texts held out in folds give a logistic curve that turns margins into scores.
 
 The model is fitted on at most ``max_rows`` labelled texts (the least by a hash of
-the id), and at most ``max_features`` feature entries of them; the scores cover
-every text. Labels are joined by id; an id with labels that differ is not learned.
-Without labels of both classes every text gets the share of label 1 (0.5 without any).
-Null and empty texts have no features and score by the bias alone.
+the id); a text has BUCKETS features at most, however long it is, so the fit is bounded.
+The scores cover every text. Labels are joined by id; an id with labels that differ is
+not learned; of document rows that repeat a labelled id, each is a text of its own until
+``max_rows``. Without labels of both classes every text gets the share of label 1 (0.5
+without any). Null and empty texts have no features and score by the bias alone. Equal
+texts have equal scores. Very long texts are taken whole, one at a time. An empty table
+gives no rows. Columns besides those named are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -164,7 +167,7 @@ def fit_rows(rows: list[np.ndarray], labels: list[int], folds: int = 3) -> Model
     return Model(whole.ratio.astype(np.float32), whole.weights.astype(np.float32), *logistic(margins, y))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", learn: Column | None = None, max_rows: int = 4000, max_features: int = 8_000_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", learn: Column | None = None, max_rows: int = 4000) -> Model:
     """A model from labelled texts; ``learn`` is a condition on the label rows' id. The labels' table is not broadcast: its bounded sample is."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(F.col("id").isNotNull() & F.col("label").isin(0, 1))
     if learn is not None:
@@ -184,12 +187,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             made += [bucket[a:b].tobytes() for a, b in zip(by[:-1].tolist(), by[1:].tolist(), strict=True)]
         return [pa.array(made, pa.binary())]
 
-    rows, y, total = [], [], 0
+    rows, y = [], []
     found = map_texts(texts, ["id", "label", "text"], "features binary", kernel)
     for r in found.orderBy(F.xxhash64("id"), "id", "features").toLocalIterator(prefetchPartitions=False):
         row = np.frombuffer(bytes(r["features"]), np.int32)
-        total += len(row)
-        if total > max_features or len(rows) >= max_rows:
+        if len(rows) >= max_rows:
             break
         rows.append(row)
         y.append(r["label"])

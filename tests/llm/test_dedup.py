@@ -149,6 +149,8 @@ def test_components_of_odd_rows(odd, odd_rows, none, clashing):
     assert found - every == Counter() and all(doc is None and component is None and n > 0 for doc, n, component in nameless)
     assert sum(nameless.values()) == len(odd_rows) - len(rows)
     assert ngram_join.components_of(none).count() == 0
+    with pytest.raises(TypeError, match="doc_id"):
+        ngram_join.components_of(odd.withColumn("doc_id", odd["doc_id"].cast("string")))
     with pytest.raises(ValueError, match="percent"):
         ngram_join.Families(50, 10)
     kept = ngram_join.keep_one(clashing, k=3, percent=90)

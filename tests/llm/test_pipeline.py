@@ -57,3 +57,12 @@ def test_pipeline_equals_brute_force(spark, odd_rows, tmp_path):
 def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_further_columns_with_clashing_names(spark, clashing, tmp_path):
+    clashing.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == clashing.columns
+    assert packing.pack(docs).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

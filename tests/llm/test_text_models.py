@@ -156,6 +156,55 @@ def test_languages_are_told_apart_when_held_out(spark):
     assert found.where("score < 0 or score > 1").count() == 0
 
 
+def brute_languages(rows, learn, texts):
+    """(language, score) of each text, by dictionaries of byte trigrams."""
+    size, near = language_id.BUCKETS, language_id.NEAR
+
+    def grams(text):
+        data = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b" \t\n\x0b\x0c\r0123456789" else b for b in (text or "").encode())
+        return [((a << 16 | b << 8 | c) * 2654435761 % (1 << 32)) >> 17 for a, b, c in zip(data, data[1:], data[2:], strict=False)]
+
+    counts = {}
+    for (_, text, lang), own in zip(rows, learn, strict=True):
+        if own and lang is not None and text is not None:
+            counts.setdefault(lang, Counter()).update(grams(text))
+    names = sorted(counts)
+    code = [[1 if (row >> i) & 1 else -1 for row in range(1, 1 << (len(names) - 1))] for i in range(len(names))]
+    share = [{g: (c[g] + 0.5) / (sum(c.values()) + 0.5 * size) for g in range(size)} for c in (counts[n] for n in names)]
+    weights, trust = [], []
+    for b in range(len(code[0])):
+        one, zero = ([s for s, w in zip(share, code, strict=True) if w[b] == sign] for sign in (1, -1))
+        weights.append([math.log((sum(s[g] for s in one) / len(one)) / (sum(s[g] for s in zero) / len(zero))) for g in range(size)])
+        trust.append(1 / (1 + math.exp(-near * min(w[b] * sum(s[g] * weights[b][g] for g in range(size)) for s, w in zip(share, code, strict=True)))))
+    trust = [t * len(trust) / sum(trust) for t in trust]
+    out = []
+    for text in texts:
+        own = grams(text)
+        margin = [sum(w[g] for g in own) / len(own) if own else 0.0 for w in weights]
+        loss = [sum(t * math.log1p(math.exp(-near * m * w)) for t, m, w in zip(trust, margin, word, strict=True)) for word in code]
+        best = min(range(len(names)), key=loss.__getitem__)
+        out.append((names[best], 1 / sum(math.exp(loss[best] - x) for x in loss)))
+    return out
+
+
+def test_languages_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(9)
+    banks = {"aa": ["ba", "No", "ri"], "bb": ["sch", "un", "ge"], "cc": ["eau", "lé", "oi"]}
+    rows = [(i, " ".join("".join(rng.choice(banks[lang]) for _ in range(rng.randint(1, 3))) + rng.choice(["", " 12", "."]) for _ in range(rng.randint(1, 12))), lang) for i in range(60) for lang in [rng.choice(list(banks))]]
+    rows += [(90, None, "aa"), (91, "scheau", None), (92, "x", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    monkeypatch.setattr(language_id, "FAN", 2)
+    held = language_id.fit(docs, learn=F.col("doc_id") % 3 != 0)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(docs, held, ["doc_id"]).collect()}
+    expected = brute_languages(rows, [doc % 3 != 0 for doc, *_ in rows], [t for _, t, _ in rows])
+    for (doc, text, _), (lang, score) in zip(rows, expected, strict=True):
+        if text is None:
+            assert found[doc] == ("und", 0.0)
+        else:
+            assert found[doc][1] == pytest.approx(score, rel=1e-4)
+            assert found[doc][0] == lang or score < 0.51
+
+
 def test_languages_of_odd_rows(odd, odd_rows, none, clashing):
     model = language_id.fit(odd)
     found = {r["doc_id"]: r for r in language_id.predict(odd, model, ["doc_id"]).collect()}
