@@ -1,7 +1,14 @@
 """From raw documents to packed sequences: quality rules, language, exact copies, near copies, packing.
 
 Each stage takes (spark, docs, sf_dir) and gives a table that is written as Parquet
-and read again as the next one's docs. All but the last keep the columns of documents.
+and read again as the next one's docs. All but the last keep the columns of documents,
+and any further ones; the last gives pieces of sequences (doc_id, start, length,
+ids_crc32, doc_tokens, sequence_id, offset) and no other columns.
+
+Null, empty and blank texts fail the base rules of the first stage and go. A null language or
+source is a group of its own there. Rows without an id stay in the fourth stage, each by
+itself; of rows equal in text one stays in the third. Ids are meant to be distinct. An
+empty table gives no pieces. Texts are taken whole by every stage, however long.
 """
 
 from __future__ import annotations
