@@ -12,10 +12,10 @@ is closed under links. Results are exact up to collisions of 64-bit hashes.
    into intervals such that linked sets lie in one or in neighbouring ones; a set
    works in the families of its own interval and the next, so linked sets share one. A
    family hashes shingles into a fixed number of groups; a signature is the sum of the
-   hashes of a group's shingles. Linked sets differ in d shingles at most, d known from
-   the size, which touch d groups at most: a set with more than d groups that are not
-   empty has a signature in common with every set it links to. A set with fewer also
-   posts finer groups, until it has more than d, or a group for each shingle. Two linked
+   hashes of a group's shingles, for groups of two or more. Linked sets differ in d
+   shingles at most, d known from the size, which touch d groups at most: a set with more
+   than d such groups has a signature in common with every set it links to. A set with
+   fewer also posts finer groups, until it has more than d, or a group for each shingle. Two linked
    sets meet at the coarser of the levels at which either has enough. Texts that share
    only frequent shingles share no signature, so the volume is linear in the input.
 3. Signatures are dealt by hash, packed; the number of parts follows the input. Only
@@ -43,6 +43,7 @@ at a time. An empty table gives no rows. Columns besides id and text are ignored
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,8 +58,11 @@ from gridloom.operators.components import connected_components
 
 BLOCK = 128
 POSTED = 4_000_000
-PART_POSTINGS = 4_000_000
+#: Parts follow the volume alone, whatever the session's partitions: one for so many postings, and LEAST_PARTS for a small cluster.
+PART_POSTINGS, LEAST_PARTS = 2_000_000, 48
 PARITY = 128
+#: A group gives a signature from so many shingles on: one shingle alone may be in any text.
+FULL = 2
 SPLIT = 256
 BROADCAST_ROWS = 300_000
 POSTING = np.dtype([("token", "<u8"), ("id", "<i8")])
@@ -106,17 +110,21 @@ class Families:
         self.groups = np.array([self._groups(i) for i in range(len(self.top))], np.int64)
 
     def _groups(self, i: int) -> int:
-        """Groups of family i: enough that nearly all of its sets have more than ``apart`` that are not empty."""
+        """Groups of family i: enough that its sets have more than ``apart`` that are full, on average."""
         least = int(self.low[max(i - 1, 0)])
-        wanted = max(int(self.apart(np.array([n]), i)[0]) + 1 for n in (least, int(self.low[i]), int(self.top[i])))
-        g = wanted + 1
+        sizes = (least, int(self.low[i]), int(self.top[i]))
+        g = max(int(self.apart(np.array([n]), i)[0]) + 1 for n in sizes)
         while g < 4 * least:
-            empty = np.exp(-least / g)
-            if g * (1 - empty) - 3 * np.sqrt(g * empty) >= wanted:
+            if all(self._likely(n, g) >= int(self.apart(np.array([n]), i)[0]) + 1 for n in sizes):
                 break
             g += max(1, g // 16)
         return g
 
+    def _likely(self, n: int, g: int) -> float:
+        """How many of g groups hold FULL of n shingles or more on average; more groups cost more than the finer level of those that fall short."""
+        load = n / g
+        return g * (1 - float(np.exp(-load) * sum(load**j / math.factorial(j) for j in range(FULL))))
+
     def interval(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, n, side="right") - 1
 
@@ -138,7 +146,7 @@ class Families:
             while len(left):
                 n = size[left]
                 groups = np.minimum(self.groups[family[left]] << level, 1 << 40)
-                single = groups >= 4 * n  # a group for each shingle
+                single = groups >= 4 * self.top[family[left]]  # a group for each shingle, for all of a family at once
                 first = np.concatenate(([0], np.cumsum(n)))
                 place = np.arange(int(first[-1])) + np.repeat(at[left] - first[:-1], n)
                 of = np.repeat(np.arange(len(left)), n)
@@ -156,7 +164,7 @@ class Families:
                 key = base[of] + ((spot >> 8) * room[of] >> 32)
                 total, count = np.zeros(int(base[-1]), np.uint64), np.bincount(key, minlength=int(base[-1]))
                 np.add.at(total, key, mixed[place])
-                full = np.flatnonzero(count)
+                full = np.flatnonzero(count >= FULL)
                 of_group = np.repeat(np.arange(len(left)), room)[full]
                 out.append(R.mix(total[full] + R.mix(salt[of_group] + (full - base[of_group]).astype(np.uint64))))
                 owner.append(left[of_group])
@@ -612,7 +620,7 @@ def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     rows = stage(_signed(narrow, k, percent), "sets")
     size = rows.agg(F.max("n"), F.sum(F.col("n").cast("long"))).first()
     largest, shingles = int(size[0] or 0), int(size[1] or 0)
-    parts = max(2 * slots(spark), shingles * (100 - percent) // (50 * PART_POSTINGS))
+    parts = max(LEAST_PARTS, shingles * (100 - percent) // (25 * PART_POSTINGS))
     classes = stage(rows.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "classes")
     shared = stage(_postings(narrow.where("id is not null"), k, percent, largest, parts).groupBy("part").applyInArrow(_shared_only(parts), schema_of("part int, rows binary")), "shared")
     sketches = rows.where("parity is not null").select("h1", "n", "parity").dropDuplicates(["h1"])
