@@ -34,11 +34,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         # large star: the neighbours above a node hang under the least around it
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         hung = _least_around(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = keep(hung, "large")
+        large = keep(hung, "large", mark[0])  # each pair once
         # small star: a node and its neighbours below it hang under the least of them
         below = _least_around(large)
         small = below.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p")).select("p.u", "p.v")
-        old, stars = stars, keep(small.where("u <> v").distinct(), "components")
+        old, stars = stars, keep(small.where("u <> v").distinct(), "components", 2 * mark[0])
         drop(old, large)
         before, mark = mark, _mark(stars)
         if mark == before:

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a file, where the rows to come are known: a table of a few thousand rows isn't dealt over hundreds of files.
+FILE_ROWS = 500_000
+
 #: Folders that ``keep`` made, by application, until they are dropped.
 _kept: dict[str, set[str]] = {}
 
@@ -25,9 +28,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def keep(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage is cut, and a lost executor costs nothing that is done."""
+def keep(df: DataFrame, name: str, rows: int | None = None, **options: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage is cut, and a lost executor costs nothing that is done.
+
+    rows: df is known to have so many rows at most; its last stage takes a task for each FILE_ROWS of them, no more.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     _kept.setdefault(spark.sparkContext.applicationId, set()).add(path)
