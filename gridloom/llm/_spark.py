@@ -41,9 +41,9 @@ def schema_of(text: str) -> T.StructType:
     return T.StructType([T.StructField(n, kind(t)) for n, t in (x.split(" ", 1) for x in _parts(text))])
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table once to the shared folder and read it back: short lineage that survives lost executors."""
-    return keep(df, name, compression="zstd")
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write a table once to the shared folder and read it back: short lineage that survives lost executors. rows: the most that df can have, where known."""
+    return keep(df, name, rows, compression="zstd")
 
 
 def whole_ids(df: DataFrame, column: str) -> Column:

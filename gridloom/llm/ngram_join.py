@@ -527,10 +527,10 @@ def join_sets(left: list[np.ndarray], right: list[np.ndarray], universe: int, pe
             within[x] = False
 
 
-def _links(members: DataFrame, k: int, percent: int) -> DataFrame:
-    """src, dst: links that join up the components of members (id, text, comp), whose comp bounds the links."""
+def _links(members: DataFrame, k: int, percent: int, sets: int | None = None) -> DataFrame:
+    """src, dst: links that join up the components of members (id, text, comp), whose comp bounds the links; sets: how many they are, where known."""
     at_once = 2 * slots(members.sparkSession)
-    sizes = stage(members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.max(F.struct("degree", "id"))["id"].alias("pivot")), "sizes")
+    sizes = stage(members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.max(F.struct("degree", "id"))["id"].alias("pivot")), "sizes", sets)
     held = stage(members.drop("degree").join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "members")
     # the set that most candidates were reached from joins every block of its component
     guests = held.where("id = pivot and blocks > 1").withColumn("own", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).where("block <> own").drop("own")
@@ -584,7 +584,7 @@ def _links(members: DataFrame, k: int, percent: int) -> DataFrame:
 
     pairs = stage(paired.groupBy("comp", "a", "b").applyInArrow(between, near), "leaders")
     links = links.unionByName(pairs.where("linked").select("src", "dst"))
-    label = stage(connected_components(links), "labels")
+    label = stage(connected_components(links), "labels", sets)
     open_pairs = pairs.where("not linked")
     for side in ("src", "dst"):
         named = label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_c"))
@@ -595,7 +595,7 @@ def _links(members: DataFrame, k: int, percent: int) -> DataFrame:
     # a leader's sets meet another's in blocks, so neither is ever whole in one task
     led = done.select("id", "leader").distinct()
     room = led.groupBy("leader").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("runs"))
-    led = stage(led.join(room, "leader").withColumn("run", F.pmod(F.xxhash64("id"), F.col("runs"))), "led")
+    led = stage(led.join(room, "leader").withColumn("run", F.pmod(F.xxhash64("id"), F.col("runs"))), "led", done.count())
     room = led.select("leader", "runs").distinct()
     sided = open_pairs.join(room.select(F.col("leader").alias("src"), F.col("runs").alias("a_runs")), "src").join(room.select(F.col("leader").alias("dst"), F.col("runs").alias("b_runs")), "dst")
     sided = sided.withColumn("a", F.explode(F.expr("sequence(0L, a_runs - 1)"))).withColumn("b", F.explode(F.expr("sequence(0L, b_runs - 1)")))
@@ -618,25 +618,27 @@ def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     narrow = docs.select(whole_ids(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     rows = stage(_signed(narrow, k, percent), "sets")
-    size = rows.agg(F.max("n"), F.sum(F.col("n").cast("long"))).first()
-    largest, shingles = int(size[0] or 0), int(size[1] or 0)
+    size = rows.agg(F.max("n"), F.sum(F.col("n").cast("long")), F.count("*")).first()
+    largest, shingles, texts = int(size[0] or 0), int(size[1] or 0), int(size[2])
     parts = max(LEAST_PARTS, shingles * (100 - percent) // (25 * PART_POSTINGS))
-    classes = stage(rows.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "classes")
+    classes = stage(rows.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "classes", texts)
     shared = stage(_postings(narrow.where("id is not null"), k, percent, largest, parts).groupBy("part").applyInArrow(_shared_only(parts), schema_of("part int, rows binary")), "shared")
     sketches = rows.where("parity is not null").select("h1", "n", "parity").dropDuplicates(["h1"])
     asked = shared.mapInArrow(_sets_of, schema_of("part int, id long"))
     told = asked.join(sketches, asked["id"] == sketches["h1"]).select("part", "id", "n", "parity")
     forest = stage(shared.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_forest(percent), schema_of(_FOREST)), "forest")
     between = forest.where("kind = 1").groupBy("token").applyInArrow(_leaders(percent), schema_of("src long, dst long"))
-    edges = stage(forest.where("kind = 0").select("src", "dst").unionByName(between).distinct(), "edges")
-    candidates = stage(connected_components(edges), "candidates")
+    # of a split signature's leaders, each hangs under one other at most
+    edges = stage(forest.where("kind = 0").select("src", "dst").unionByName(between).distinct(), "edges", forest.count())
+    candidates = stage(connected_components(edges), "candidates", classes.count())
     degrees = edges.groupBy(F.col("src").alias("h1")).agg(F.count("*").alias("degree"))
     found = classes.join(candidates, classes["h1"] == candidates["node"]).join(degrees, "h1", "left")
     chosen = stage(found.select("rep", F.col("component").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree")), "chosen")
-    wanted = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    sets = chosen.count()
+    wanted = F.broadcast(chosen) if sets <= BROADCAST_ROWS else chosen
     members = narrow.join(wanted, narrow["id"] == wanted["rep"]).select("id", "text", "comp", "degree")
-    labels = connected_components(_links(members, k, percent))
-    named = stage(classes.join(labels, classes["rep"] == labels["node"], "left").select("n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")), "named")
+    labels = connected_components(_links(members, k, percent, sets))
+    named = stage(classes.join(labels, classes["rep"] == labels["node"], "left").select("n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")), "named", classes.count())
     return rows.select("id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
