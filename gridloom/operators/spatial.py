@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from gridloom.functions.cells import half_even, snap
 from gridloom.operators.grid import neighbours
-from gridloom.plans.shared import keep
+from gridloom.plans.shared import keep, meet
 
 
 def bucketed(df: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
@@ -118,15 +118,16 @@ def near_other_group(points: DataFrame, group: str, distance: float) -> DataFram
     return points.select("id", group).join(best, "id", "left")
 
 
-def overlapping(boxes: DataFrame, size: float) -> DataFrame:
-    """Pairs (a > b) of boxes (id) whose overlap has an area. A pair that shares several buckets is found once, in its first."""
+def overlapping(boxes: DataFrame, size: float, middle: bool = False) -> DataFrame:
+    """Pairs (a > b) of boxes (id) whose overlap has an area; with its middle (x, y) if asked. A pair that shares several buckets is found once, in its first."""
     wide = spread(boxes.select("id", "xmin", "ymin", "xmax", "ymax"), size)
     a = wide.select("bx", "by", F.col("id").alias("a"), *[F.col(c).alias(f"a{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
     b = wide.select("bx", "by", F.col("id").alias("b"), *[F.col(c).alias(f"b{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    x1, y1 = F.greatest("axmin", "bxmin"), F.greatest("aymin", "bymin")
-    w, h = F.least("axmax", "bxmax") - x1, F.least("aymax", "bymax") - y1
+    x1, y1, x2, y2 = F.greatest("axmin", "bxmin"), F.greatest("aymin", "bymin"), F.least("axmax", "bxmax"), F.least("aymax", "bymax")
+    w, h = x2 - x1, y2 - y1
     first = (F.col("bx") == F.floor(x1 / size)) & (F.col("by") == F.floor(y1 / size))
-    return a.join(b, ["bx", "by"]).where((F.col("a") > F.col("b")) & (w > 0) & (h > 0) & first).select("a", "b", (w * h).alias("area"))
+    centre = [((x1 + x2) / 2).alias("x"), ((y1 + y2) / 2).alias("y")] if middle else []
+    return meet(a, b, ["bx", "by"]).where((F.col("a") > F.col("b")) & (w > 0) & (h > 0) & first).select("a", "b", (w * h).alias("area"), *centre)
 
 
 def overlay_cells(boxes: DataFrame, res: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.geometry import bounds, point_distance, ring_area, ring_centroid, segment_crossing, segment_distance, segments
 from gridloom.operators.spatial import overlapping, spread
+from gridloom.plans.shared import meet, tasks
 
 
 def _segments(polygons: DataFrame) -> DataFrame:
@@ -34,26 +35,30 @@ def self_crossings(polygons: DataFrame, size: float) -> DataFrame:
     b = wide.select("bx", "by", "id", F.col("ring").alias("rb"), F.col("i").alias("ib"), F.col("s").alias("sb"))
     step = F.abs(F.col("ia") - F.col("ib"))
     neighbours = (F.col("ra") == F.col("rb")) & ((step == 1) | (step == F.col("n") - 1))
-    met = a.join(b, ["bx", "by", "id"]).where((F.struct("ra", "ia") < F.struct("rb", "ib")) & ~neighbours).withColumn("p", segment_crossing(F.col("sa"), F.col("sb"))).where("p is not null")
+    met = meet(a, b, ["bx", "by", "id"]).where((F.struct("ra", "ia") < F.struct("rb", "ib")) & ~neighbours).withColumn("p", segment_crossing(F.col("sa"), F.col("sb"))).where("p is not null")
     return _issue(met, F.concat(F.lit("self-intersection of "), F.col("id").cast("string")), "validity", F.col("p")[0], F.col("p")[1])
 
 
 def overlaps(boxes: DataFrame, size: float) -> DataFrame:
     """Overlaps of box polygons, at the middle of the overlap."""
-    pairs = overlapping(boxes, size)
-    named = lambda k: boxes.select(F.col("id").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    both = pairs.join(named("a"), "a").join(named("b"), "b")
-    return _issue(both, F.concat(F.lit("area="), F.col("area").cast("string")), "intersection", (F.greatest("a_xmin", "b_xmin") + F.least("a_xmax", "b_xmax")) / 2, (F.greatest("a_ymin", "b_ymin") + F.least("a_ymax", "b_ymax")) / 2)
+    pairs = overlapping(boxes, size, middle=True)
+    return _issue(pairs, F.concat(F.lit("area="), F.col("area").cast("string")), "intersection", F.col("x"), F.col("y"))
 
 
 def noding(polygons: DataFrame, size: float, t: float = 0.1, own_box_only: bool = False) -> DataFrame:
     """Vertices nearer than t to a segment without touching it; own_box_only keeps to the segment's own box (a known reading)."""
-    segs = _segments(polygons)
-    points = segs.select(F.col("s")[0][0].alias("px"), F.col("s")[0][1].alias("py")).distinct().withColumns({"bx": F.floor(F.col("px") / size), "by": F.floor(F.col("py") / size)})
-    d = segment_distance(F.col("px"), F.col("py"), F.col("s"))
-    met = spread(segs, size, t).join(points, ["bx", "by"]).withColumn("d", d).where((F.col("d") > 0) & (F.col("d") <= t))
+    n, s = tasks(polygons.sparkSession), F.col("s")
+    segs = _segments(polygons).select("xmin", "ymin", "xmax", "ymax", *[s[i][j].alias(n) for n, i, j in (("x1", 0, 0), ("y1", 0, 1), ("x2", 1, 0), ("y2", 1, 1))])
+    # most of a wide bucket's pairs are far apart: buckets of about half a segment, if that is less
+    mean = segs.agg(F.avg(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).first()[0]
+    size = min(size, max(2 * t, (mean or size) / 2))
+    points = segs.select(F.col("x1").alias("px"), F.col("y1").alias("py")).withColumns({"bx": F.floor(F.col("px") / size), "by": F.floor(F.col("py") / size)})
+    points = points.repartition(n, "bx", "by").distinct()
+    d = segment_distance(F.col("px"), F.col("py"), F.array(F.array("x1", "y1"), F.array("x2", "y2")))
+    met = spread(segs, size, t).repartition(n, "bx", "by").hint("merge").join(points, ["bx", "by"]).withColumn("d", d).where((F.col("d") > 0) & (F.col("d") <= t))
     if own_box_only:
         met = met.where(F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax")))
+    met = met.select("bx", "by", "px", "py", "d").distinct()  # within a bucket, without another shuffle
     return _issue(met, F.concat(F.lit("distance="), F.col("d").cast("string")), "noding", F.col("px"), F.col("py"))
 
 

@@ -20,6 +20,7 @@ from gridloom.operators import focal, grid, network, paths, raster, spatial, tes
 from gridloom.operators.components import connected_components
 from gridloom.plans import datasets as X
 from gridloom.plans.datasets import sql, table
+from gridloom.plans.shared import keep, tasks
 from gridloom.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -626,7 +627,7 @@ def laea_roundtrip(spark, sf):
 
 @query()
 def tessellation_issues(spark, sf):
-    boxes = X.buildings(spark, sf)
+    boxes = keep(X.buildings(spark, sf).repartition(tasks(spark)), "boxes")
     polygons = boxes.select("id", F.array(G.box_ring(c("xmin"), c("ymin"), c("xmax"), c("ymax"))).alias("rings"))
     return tessellation.all_issues([tessellation.overlaps(boxes, 250.0), tessellation.micro_segments(polygons, 25.0), tessellation.noding(polygons, 250.0, 5.0), tessellation.self_crossings(polygons, 250.0), tessellation.thin_boxes(boxes, 12.0), tessellation.slivers(polygons, 6.0)])
 

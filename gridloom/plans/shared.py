@@ -44,6 +44,17 @@ def keep(df: DataFrame, name: str, rows: int | None = None, **options: str) -> D
     return made
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for work that is heavy for its rows or makes many of few: sizes in bytes, which AQE and file splits go by, say nothing of it."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def meet(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """The join on buckets, dealt by key to a fixed number of tasks. Neither side is broadcast: Spark's estimates know nothing of exploded rows."""
+    n = tasks(a.sparkSession)
+    return a.repartition(n, *keys).hint("merge").join(b.repartition(n, *keys), keys)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
