@@ -133,14 +133,44 @@ def box_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     return F.array(*[F.array(x.cast("double"), y.cast("double")) for x, y in ((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin))])
 
 
+def area_in_box(parts: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    """Area that a ring, given as its ``segments``, has in a box: the signed areas under its segments, cut to the box, without making the part.
+
+    What cancels out can leave a rest of rounding in place of 0.
+    """
+    high = ymax - ymin
+    inside = lambda v, top: F.least(F.greatest(v, F.lit(0.0)), top)
+    above = lambda v: F.greatest(v - high, F.lit(0.0))
+
+    def under(s: Column) -> Column:
+        ax, ay, bx, by = s[0][0], s[0][1], s[1][0], s[1][1]
+
+        def cut(p: Column) -> Column:  # the segment's ends in the box's strip, from its lower left
+            u0, u1, v0, v1 = p[0], p[1], p[2], p[3]
+            h0, h1, dv = inside(v0, high), inside(v1, high), F.abs(v1 - v0)
+            mean = F.when(dv == 0, h0).otherwise((F.abs(h1 - h0) * (h0 + h1) / 2 + high * F.abs(above(v1) - above(v0))) / dv)
+            return (u1 - u0) * F.when((v0 >= high) & (v1 >= high), high).when((v0 <= 0) & (v1 <= 0), 0.0).otherwise(mean)
+
+        u0, u1 = inside(ax - xmin, xmax - xmin), inside(bx - xmin, xmax - xmin)
+        at = lambda u, x, y: F.when(u == x - xmin, y - ymin).otherwise(ay - ymin + (by - ay) * (u - (ax - xmin)) / (bx - ax))
+        return F.when((ax == bx) | (u0 == u1), 0.0).otherwise(let(F.array(u0, u1, at(u0, ax, ay), at(u1, bx, by)), cut))
+
+    return F.abs(F.aggregate(parts, F.lit(0.0), lambda t, s: t + under(s)))
+
+
 def overlay_polygons(df: DataFrame, res: int, ring: str = "ring") -> DataFrame:
     """Polygons (one ring) cut by the grid: a row for each cell (cx, cy) they share an area with, with that area."""
     from gridloom.operators.grid import cells_of_box
+    from gridloom.plans.shared import tasks
 
-    boxed = df.withColumn("__b", bounds(F.col(ring))).select("*", *[F.col(f"__b.{c}").alias(f"__{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
+    df = df.repartition(tasks(df.sparkSession))  # a small file holds many polygons, each of many cells
+    boxed = df.withColumns({"__b": bounds(F.col(ring)), "__s": segments(F.col(ring))}).select("*", *[F.col(f"__b.{c}").alias(f"__{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
     cells = cells_of_box(boxed, res, ("__xmin", "__ymin", "__xmax", "__ymax")).drop("__b", "__xmin", "__ymin", "__xmax", "__ymax")
-    part = clip_ring(F.col(ring), F.col("cx"), F.col("cy"), F.col("cx") + res, F.col("cy") + res)
-    return cells.withColumn("area", F.abs(ring_area(part))).where(F.col("area") > 0)
+    box = (F.col("cx"), F.col("cy"), F.col("cx") + res, F.col("cy") + res)
+    found = cells.withColumn("area", area_in_box(F.col("__s"), *[c.cast("double") for c in box])).drop("__s")
+    # what is next to nothing may be a rest of rounding: the clipped ring tells
+    exact = F.when(F.col("area") > 1e-6 * res * res, F.col("area")).otherwise(F.abs(ring_area(clip_ring(F.col(ring), *box))))
+    return found.withColumn("area", exact).where(F.col("area") > 0)
 
 
 def vertex_count(kind: Column, polygons: Column) -> Column:

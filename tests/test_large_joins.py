@@ -50,3 +50,26 @@ def test_overlaps_and_noding_equal_every_pair(spark):
     found = [(r.x, r.y, round(float(r.description.removeprefix("distance=")), 9)) for r in tessellation.noding(polygons, 250.0, 5.0).collect()]
     found = [f for f in found if f[2]]  # segment_distance gives some touching vertices 1e-14
     assert near and set(found) == near and len(found) == len(near)
+
+
+def test_area_in_cells_equals_clipping(spark):
+    rng = random.Random(9)
+    at = lambda: (4000000 + rng.uniform(0, 400), 3000000 + rng.uniform(0, 400))
+    rings = [[at() for _ in range(rng.randint(3, 8))] for _ in range(60)]
+    # a hook whose box has cells without a part of it, and a ring that runs back over itself
+    rings += [[(0.0, 0.0), (300.0, 0.0), (300.0, 300.0), (290.0, 300.0), (290.0, 10.0), (0.0, 10.0)], [(0.0, 0.0), (250.0, 0.0), (250.0, 50.0), (250.0, 0.0)]]
+    frame = spark.createDataFrame([(i, [list(map(float, p)) for p in [*r, r[0]]]) for i, r in enumerate(rings)], "id long, ring array<array<double>>")
+    made = {(r.id, r.cx, r.cy): r.area for r in G.overlay_polygons(frame, 100).collect()}
+    moved = frame.select("id", F.transform("ring", lambda p: F.array(p[0] - F.when(F.col("id") < 60, 4000000).otherwise(0), p[1] - F.when(F.col("id") < 60, 3000000).otherwise(0))).alias("ring"))
+    cells = moved.crossJoin(spark.range(5).selectExpr("id * 100 as cx")).crossJoin(spark.range(5).selectExpr("id * 100 as cy"))
+    clipped = cells.withColumn("area", F.abs(G.ring_area(G.clip_ring(F.col("ring"), F.col("cx"), F.col("cy"), F.col("cx") + 100, F.col("cy") + 100)))).where("area > 1e-7")
+    held = {(r.id, r.cx + (4000000 if r.id < 60 else 0), r.cy + (3000000 if r.id < 60 else 0)): r.area for r in clipped.collect()}
+    assert {k for k, v in made.items() if v > 1e-6} == {k for k, v in held.items() if v > 1e-6}
+    assert all(abs(made[k] - v) < 1e-5 for k, v in held.items() if v > 1e-6)
+    assert {k[1:] for k in made if k[0] == 60} == {(0, 0), (100, 0), (200, 0), (200, 100), (200, 200)}
+    assert not [k for k in made if k[0] == 61]
+
+
+def test_polygons_of_one_file_are_dealt(spark, parts):
+    made = QUERIES["polygon_cell_overlay"](spark, parts)
+    assert made.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
