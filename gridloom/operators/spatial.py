@@ -10,6 +10,9 @@ from gridloom.functions.cells import half_even, snap
 from gridloom.operators.grid import neighbours
 from gridloom.plans.shared import keep, meet
 
+#: Ids of a place that go into one list, about.
+IDS = 1000
+
 
 def bucketed(df: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
     return df.withColumns({"bx": F.floor(F.col(x) / size).cast("long"), "by": F.floor(F.col(y) / size).cast("long")})
@@ -101,12 +104,28 @@ def codes_within(cells: DataFrame, regions: DataFrame, res: int, distance: float
     return cells.select("id").join(codes, "id", "left").select("id", F.coalesce("codes", F.lit("")).alias("codes"))
 
 
+def _gathered(points: DataFrame, name: str) -> DataFrame:
+    """(x, y, part, parts, name): the ids of each place, in lists of about IDS."""
+    parts = F.ceil(F.count("*") / IDS).cast("long").alias("parts")
+    held = points.join(points.groupBy("x", "y").agg(parts).hint("merge"), ["x", "y"])
+    return held.groupBy("x", "y", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "parts").agg(F.collect_list("id").alias(name))
+
+
 def pairs_within(a: DataFrame, b: DataFrame, distance: float) -> DataFrame:
-    """Pairs (a, b, distance) of points (id, x, y) at most a distance apart."""
-    here = bucketed(a.select(F.col("id").alias("a"), "x", "y"), distance)
-    there = neighbours(bucketed(b.select(F.col("id").alias("b"), F.col("x").alias("x2"), F.col("y").alias("y2")), distance, "x2", "y2"))
+    """Pairs (a, b, distance) of points (id, x, y) at most a distance apart.
+
+    Places are met, not points: a place of n points by one of m takes one test for its n * m pairs, which are
+    written out of lists of ids, list by list, so that a place of very many points is no task of its own.
+    """
+    here, there = _gathered(a.select("id", "x", "y"), "a"), _gathered(b.select("id", F.col("x"), F.col("y")), "b")
+    sites = bucketed(here.select("x", "y", "parts").distinct(), distance)
+    there = there.withColumnsRenamed({"x": "x2", "y": "y2"}).drop("part", "parts")
     d = F.sqrt((F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2)
-    return here.join(there, ["bx", "by"]).withColumn("distance", d).where(F.col("distance") <= distance).select("a", "b", "distance")
+    near = meet(sites, neighbours(bucketed(there, distance, "x2", "y2")), ["bx", "by"]).withColumn("distance", d).where(F.col("distance") <= distance)
+    near = near.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    key = F.concat_ws(" ", "x", "y", "part").alias("key")  # joins on doubles are dealt anew, by size
+    met = meet(near.select(key, "b", "distance"), here.select(key, "a"), ["key"])
+    return met.select(F.explode("a").alias("a"), "b", "distance").select("a", F.explode("b").alias("b"), "distance")
 
 
 def near_other_group(points: DataFrame, group: str, distance: float) -> DataFrame:

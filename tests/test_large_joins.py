@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
-from gridloom.operators import tessellation
+from gridloom.operators import spatial, tessellation
 from gridloom.plans.catalogue import QUERIES
 
 
@@ -73,3 +73,18 @@ def test_area_in_cells_equals_clipping(spark):
 def test_polygons_of_one_file_are_dealt(spark, parts):
     made = QUERIES["polygon_cell_overlay"](spark, parts)
     assert made.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_pairs_of_crowded_places(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "IDS", 4)
+    rng = random.Random(2)
+    a, b = ([(i, rng.randrange(6) * 10.0, rng.randrange(3) * 10.0) for i in range(n)] for n in (150, 40))
+    a += [(900, None, 0.0), (901, -0.0, 5.0), (902, -40.0, 0.0)]
+    frames = [spark.createDataFrame(r, "id long, x double, y double") for r in (a, b)]
+    held = sorted((i, j, math.hypot(x - u, y - v)) for i, x, y in a if x is not None for j, u, v in b if math.hypot(x - u, y - v) <= 20)
+    made = spatial.pairs_within(*frames, 20.0)
+    assert [(r.a, r.b) for r in made.orderBy("a", "b").collect()] == [h[:2] for h in held]
+    assert all(abs(r.distance - h[2]) < 1e-9 for r, h in zip(made.orderBy("a", "b").collect(), held, strict=True))
+    # few rows make many: the tasks don't go by the size of the sides
+    assert made.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert "Broadcast" not in plan(made)
