@@ -9,8 +9,12 @@ keeps only a node's k best sources, which is safe with costs that are not negati
 source among the k best of a node is among the k best of the node before it on its path,
 ties included. Rounds are written to the shared folder.
 
-Tiles hold about ARCS arcs. They are runs of equal hash unless ``tile`` names an
-expression over ``node`` (a place, say), which keeps neighbours together.
+Tiles hold about ARCS arcs. ``tile`` names an expression over ``node`` (a place, say) that keeps neighbours together.
+
+Without it nearly every arc of a larger graph would leave its tile, so that graph is not cut
+into tiles: arcs are dealt by their start once and kept in memory or on disk, and in a round
+only labels that got better, and lie within a mean arc's cost of the least of them, follow
+their arcs (after U. Meyer, P. Sanders, Delta-stepping, 2003). Most labels follow theirs once.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridloom.plans.shared import drop, keep
+from gridloom.plans.shared import drop, keep, tasks
 
 ARCS = 500_000
 
@@ -67,12 +71,45 @@ def _settle(arcs: pa.Table, seeds: pa.Table, k: int | None, limit: float | None)
     return inner, leaving
 
 
+def _by_rounds(start: DataFrame, arcs: DataFrame, size: int, k: int | None, max_rounds: int, limit: float | None) -> DataFrame:
+    """(node, source, cost): settled labels; in a round the better ones of the least costs follow their arcs."""
+    n = min(tasks(arcs.sparkSession), -(-size // 250_000))
+    kind = arcs.schema["w"].dataType
+    widest, step = arcs.groupBy("src").agg(F.count("*").alias("n"), F.sum("w").alias("w")).agg(F.max("n"), F.sum(F.col("w").cast("double")) / size).first()
+    # a row for each node's arcs is ten times as quick to pass over as one for each arc; those of a hub are parted
+    part = F.pmod(F.xxhash64("dst"), F.lit(-(-widest // 1000)))
+    arcs = arcs.repartition(n, "src").groupBy("src", part).agg(F.collect_list(F.struct("dst", "w")).alias("out")).select("src", "out").sortWithinPartitions("src").persist()
+    best = Window.partitionBy("node").orderBy("cost", "source")
+    labels = keep(start.select("node", "source", F.col("cost").cast(kind).alias("cost"), F.lit(True).alias("open")), "labels")
+    try:
+        for _ in range(max_rounds):
+            least = labels.where("open").agg(F.min("cost")).first()[0]
+            if least is None:
+                return labels.select("node", "source", "cost")
+            go = F.col("open") & (F.col("cost") <= least + step)
+            front = labels.where(go).select("node", "source", "cost").repartition(n, "node")
+            reached = front.hint("merge").join(arcs, front["node"] == arcs["src"]).select("source", "cost", F.inline("out"))
+            reached = reached.select(F.col("dst").alias("node"), "source", (F.col("cost") + F.col("w")).cast(kind).alias("cost"), F.lit(True).alias("open"))
+            reached = reached.where(F.col("cost") <= limit) if limit is not None else reached
+            # of equal costs the label that followed its arcs already stays
+            least_of = F.min(F.struct("cost", "open")).alias("l")
+            more = labels.withColumn("open", F.col("open") & ~go).unionByName(reached).repartition(n, "node").groupBy("node", "source").agg(least_of).select("node", "source", "l.cost", "l.open")
+            more = more if k is None else more.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k).drop("__r")
+            before, labels = labels, keep(more, "labels")
+            drop(before)
+    finally:
+        arcs.unpersist()
+    raise RuntimeError("costs have not settled")
+
+
 def _relax(start: DataFrame, edges: DataFrame, k: int | None, max_rounds: int, limit: float | None, tile: str | None = None) -> DataFrame:
     """(node, source, cost): settled labels from the start's (node, source, cost)."""
     spark = edges.sparkSession
     arcs = keep(edges.where("w >= 0").groupBy("src", "dst").agg(F.min("w").alias("w")), "arcs")
     size = arcs.count()
     tiles = max(1, -(-size // ARCS))
+    if tiles > 1 and tile is None:
+        return _by_rounds(start, arcs, size, k, max_rounds, limit)
     # sources are independent of one another where all are kept: few tiles are also split by source
     ways = 1 if k is not None else max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")) // tiles, start.count()))
     at = lambda c: (F.expr(tile.replace("node", c)) if tile else F.pmod(F.xxhash64(c), F.lit(tiles))).cast("long")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
-from gridloom.operators import spatial, tessellation
+from gridloom.operators import paths, spatial, tessellation
 from gridloom.plans.catalogue import QUERIES
 
 
@@ -88,3 +88,20 @@ def test_pairs_of_crowded_places(spark, monkeypatch):
     # few rows make many: the tasks don't go by the size of the sides
     assert made.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
     assert "Broadcast" not in plan(made)
+
+
+def test_larger_graph_is_not_cut_by_hash(spark, monkeypatch):
+    kept, held = [], paths.keep
+    monkeypatch.setattr(paths, "keep", lambda df, name, *a, **k: kept.append(name) or held(df, name, *a, **k))
+    monkeypatch.setattr(paths, "ARCS", 1)
+    edges = spark.createDataFrame([(1, 2, 5), (2, 3, 5), (1, 3, 12)], "src long, dst long, w long")
+    found = {tuple(r) for r in paths.k_nearest(edges, spark.createDataFrame([(1,)], "node long"), 2).collect()}
+    assert found == {(1, 1, 0, 1), (2, 1, 5, 1), (3, 1, 10, 1)}
+    assert set(kept) == {"arcs", "labels"}
+
+
+def test_arcs_of_a_hub_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(paths, "ARCS", 500)
+    edges = spark.range(1, 2501).selectExpr("0L as src", "id as dst", "id % 7 as w").union(spark.range(1, 2501).selectExpr("id as src", "id + 5000 as dst", "1L as w"))
+    found = {(r.node, r.cost) for r in paths.reach(edges, spark.createDataFrame([(0,)], "node long"), 6).collect()}
+    assert found == {(0, 0)} | {(i, i % 7) for i in range(1, 2501)} | {(i + 5000, i % 7 + 1) for i in range(1, 2501) if i % 7 < 6}
