@@ -221,7 +221,7 @@ def access_grid(cells: DataFrame, labels: DataFrame, k: int, res: int, speed: fl
     wide = labels.groupBy("node").agg(*[F.max(F.when(F.col("rank") == i, F.col("cost"))).alias(f"c{i}") for i in range(1, k + 1)])
     costs = {f"duration_{i}": F.coalesce(F.col(f"c{i}") + added, F.lit(-1.0)) for i in range(1, k + 1)}
     known = sum((F.col(f"c{i}") for i in range(2, k + 1)), F.col("c1"))
-    return held.join(wide, "node", "left").select("grd_id", F.bround("distance").cast("long").alias("distance_to_node"), *[c.alias(n) for n, c in costs.items()], F.coalesce(known / k + added, F.lit(-1.0)).alias("duration_average"))
+    return held.join(wide.hint("merge"), "node", "left").select("grd_id", F.bround("distance").cast("long").alias("distance_to_node"), *[c.alias(n) for n, c in costs.items()], F.coalesce(known / k + added, F.lit(-1.0)).alias("duration_average"))
 
 
 def pair_costs(edges: DataFrame, pairs: DataFrame, limit: float | None = None) -> DataFrame:

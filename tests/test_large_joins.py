@@ -90,6 +90,15 @@ def test_pairs_of_crowded_places(spark, monkeypatch):
     assert "Broadcast" not in plan(made)
 
 
+@pytest.fixture(scope="module")
+def network(spark, tmp_path_factory):
+    """Customers and orders: a graph of 900 nodes."""
+    place = str(tmp_path_factory.mktemp("network"))
+    spark.range(0, 900).selectExpr("id as c_custkey", "double(id) as c_acctbal", "cast(id % 25 as int) as c_nationkey").write.parquet(f"{place}/customer.parquet")
+    spark.range(0, 4000).selectExpr("id as o_orderkey", "id * 7 % 900 as o_custkey", "double(id * 7919 % 500000) as o_totalprice").write.parquet(f"{place}/orders.parquet")
+    return place
+
+
 def test_larger_graph_is_not_cut_by_hash(spark, monkeypatch):
     kept, held = [], paths.keep
     monkeypatch.setattr(paths, "keep", lambda df, name, *a, **k: kept.append(name) or held(df, name, *a, **k))
@@ -105,3 +114,8 @@ def test_arcs_of_a_hub_are_parted(spark, monkeypatch):
     edges = spark.range(1, 2501).selectExpr("0L as src", "id as dst", "id % 7 as w").union(spark.range(1, 2501).selectExpr("id as src", "id + 5000 as dst", "1L as w"))
     found = {(r.node, r.cost) for r in paths.reach(edges, spark.createDataFrame([(0,)], "node long"), 6).collect()}
     assert found == {(0, 0)} | {(i, i % 7) for i in range(1, 2501)} | {(i + 5000, i % 7 + 1) for i in range(1, 2501) if i % 7 < 6}
+
+
+@pytest.mark.parametrize("name", ["accessibility_grid"])
+def test_labels_are_not_broadcast(spark, network, name):
+    assert "Broadcast" not in plan(QUERIES[name](spark, network))
