@@ -188,7 +188,7 @@ def reach(edges: DataFrame, origins: DataFrame, limit: float, max_rounds: int =
 def reachable_sum(edges: DataFrame, origins: DataFrame, amounts: DataFrame, limit: float, name: str = "reachable") -> DataFrame:
     """(source, name): sum of the amounts (node, amount) at the nodes within reach of each origin."""
     totals = amounts.groupBy("node").agg(F.sum("amount").alias("amount"))
-    return reach(edges, origins, limit).join(totals, "node", "left").groupBy("source").agg(F.coalesce(F.sum("amount"), F.lit(0)).alias(name))
+    return reach(edges, origins, limit).join(totals.hint("merge"), "node", "left").groupBy("source").agg(F.coalesce(F.sum("amount"), F.lit(0)).alias(name))
 
 
 def path_nodes(edges: DataFrame, source, target) -> DataFrame:
@@ -228,4 +228,4 @@ def pair_costs(edges: DataFrame, pairs: DataFrame, limit: float | None = None) -
     """(a, b, cost) of node pairs (a, b): the cheapest way from a to b; null without one (or none within the limit)."""
     origins = pairs.select(F.col("a").alias("node")).distinct()
     found = reach(edges, origins, limit if limit is not None else float("inf")).select(F.col("source").alias("a"), F.col("node").alias("b"), "cost")
-    return pairs.join(found, ["a", "b"], "left")
+    return pairs.join(found.hint("merge"), ["a", "b"], "left")  # a kept table is small on disk, not in a driver that broadcasts it

@@ -116,6 +116,6 @@ def test_arcs_of_a_hub_are_parted(spark, monkeypatch):
     assert found == {(0, 0)} | {(i, i % 7) for i in range(1, 2501)} | {(i + 5000, i % 7 + 1) for i in range(1, 2501) if i % 7 < 6}
 
 
-@pytest.mark.parametrize("name", ["accessibility_grid"])
+@pytest.mark.parametrize("name", ["accessibility_grid", "pair_costs"])
 def test_labels_are_not_broadcast(spark, network, name):
     assert "Broadcast" not in plan(QUERIES[name](spark, network))
