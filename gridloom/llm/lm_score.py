@@ -25,7 +25,8 @@ tokens. Each chunk asks for the states and arcs its own texts can reach:
 2. Each chunk counts its words, pairs and triples and deals them out by hash, sorted and
    packed into byte planes; equal hashes meet and their counts are summed. Chunks get
    back only totals that differ from their own counts. The number of parts follows the
-   number of chunks.
+   number of chunks. Words and pairs go first, triples after them, each round in an
+   exchange of its own, whose files go as soon as its totals are written.
 3. Chunk and totals meet; the chunk's slice of the automaton is built and walked.
 
 Every training text is counted, nothing is pruned. Words, pairs and triples are known by
@@ -37,6 +38,7 @@ none. Without training texts every word has probability 1 / (0 + 0 + 1).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +50,7 @@ from pyspark.sql import types as T
 from gridloom.llm import _ragged as R
 from gridloom.llm._ragged import from_planes, from_sorted_planes, sorted_planes, to_planes
 from gridloom.llm._spark import schema_of, slots, stage
+from gridloom.plans.shared import shuffles_go
 
 CHUNK_TOKENS = 1_500_000
 GROWTH = 0.75
@@ -55,6 +58,8 @@ LANE = 512
 CHUNKS_TO_A_PART = 4
 END, START = np.uint64(0xE4D), np.uint64(0x57A47)
 WORD, PAIR, TRIPLE = 0, 1, 2
+#: What is dealt out together: about half of the bytes each. The disk holds one round's exchange at a time.
+ROUNDS = ((WORD, PAIR), (TRIPLE,))
 
 
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,9 +119,9 @@ def _chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
 
 
 class Chunk:
-    """The tokens of a chunk as numbers of its words, and its distinct words, pairs and triples."""
+    """The tokens of a chunk as numbers of its words, and its distinct words, pairs and (unless left out) triples."""
 
-    def __init__(self, sizes: bytes, vocabulary: bytes, words: bytes, learn: list):
+    def __init__(self, sizes: bytes, vocabulary: bytes, words: bytes, learn: list, triples: bool = True):
         size = from_planes(sizes, "<u4").astype(np.int64)
         words = from_planes(words, "<u4").astype(np.int64)
         known = from_planes(vocabulary, "<u8")
@@ -124,7 +129,7 @@ class Chunk:
         self.end, self.start = len(known), len(known) + 1
         self.at = np.concatenate(([0], np.cumsum(size + 1)))
         n, v = int(self.at[-1]), len(self.hashes)
-        self.word, before = np.empty(n, np.int64), np.empty(n, np.int64)
+        self.word, before = np.empty(n, np.int32), np.empty(n, np.int64)
         last = np.zeros(n, bool)
         last[self.at[1:] - 1] = True
         self.word[~last] = words
@@ -136,10 +141,12 @@ class Chunk:
         before += self.word
         self.learned = np.repeat(np.array([bool(x) for x in learn], bool), size + 1)
         self.pairs, self.pair, _ = distinct(before)
-        later = np.ones(n, bool)
-        later[self.at[:-1]] = False
-        self.later = np.flatnonzero(later)  # tokens with two before them, the start included
-        before = self.pair[self.later - 1].astype(np.int64)
+        self.has_triples = triples
+        if not triples:
+            return
+        self.later = np.ones(n, bool)  # whether a token has two before it, the start included
+        self.later[self.at[:-1]] = False
+        before = self.pair[:-1][self.later[1:]].astype(np.int64)
         before *= v
         before += self.word[self.later]
         self.triples, self.triple, _ = distinct(before)
@@ -148,17 +155,20 @@ class Chunk:
         """Of words, of pairs, of triples in training texts; the start counts once a text."""
         words = np.bincount(self.word[self.learned], minlength=len(self.hashes))
         words[self.start] = words[self.end]
-        return [words, np.bincount(self.pair[self.learned], minlength=len(self.pairs)), np.bincount(self.triple[self.learned[self.later]], minlength=len(self.triples))]
+        out = [words, np.bincount(self.pair[self.learned], minlength=len(self.pairs))]
+        return [*out, np.bincount(self.triple[self.learned[self.later]], minlength=len(self.triples))] if self.has_triples else out
 
     def names(self) -> list[np.ndarray]:
         """56-bit hashes of the words (the start left out), pairs and triples. The least bit tells pairs that end a text."""
         v, p = len(self.hashes), R.powers(4)
         first, second = np.divmod(self.pairs, v)
         pairs = R.mix(self.hashes[first] * p[1] + self.hashes[second] * p[2])
-        pair, third = np.divmod(self.triples, v)
-        triples = R.mix(pairs[pair] * p[1] + self.hashes[third] * p[3])
+        triples = []
+        if self.has_triples:
+            pair, third = np.divmod(self.triples, v)
+            triples = [R.mix(pairs[pair] * p[1] + self.hashes[third] * p[3]) >> np.uint64(8)]
         pairs >>= np.uint64(8)
-        return [self.hashes[:-1] >> np.uint64(8), (pairs & ~np.uint64(1)) | (second == self.end).astype(np.uint64), triples >> np.uint64(8)]
+        return [self.hashes[:-1] >> np.uint64(8), (pairs & ~np.uint64(1)) | (second == self.end).astype(np.uint64), *triples]
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -175,23 +185,25 @@ def unpacked(data: bytes) -> bytes:
     return pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), codec="zstd", asbytes=True)
 
 
-def _requests(chunks: DataFrame, parts: int) -> DataFrame:
-    """chunk, part, kind, hashes, counts: what a chunk counted and needs the totals of, dealt by hash."""
+def _requests(chunks: DataFrame, parts: int, kinds: tuple[int, ...]) -> DataFrame:
+    """chunk, part, kind, hashes, counts: what a chunk counted of these kinds and needs the totals of, dealt by hash."""
     schema = "chunk long, part int, kind int, hashes binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c = Chunk(*(unpacked(row[c]) for c in ("sizes", "vocabulary", "words")), row["learn"])
+                c = Chunk(*(unpacked(row[c]) for c in ("sizes", "vocabulary", "words")), row["learn"], TRIPLE in kinds)
                 for kind, (hashes, counts) in enumerate(zip(c.names(), c.counts(), strict=True)):
+                    if kind not in kinds:
+                        continue
                     order = np.argsort(hashes)
                     hashes, counts = hashes[order], counts[order].astype("<u4")
                     part = part_of(hashes, parts)
                     cut = np.searchsorted(part, np.arange(parts + 1)).tolist()
                     own = [p for p in range(parts) if cut[p] < cut[p + 1]]
                     columns = [[row["chunk"]] * len(own), own, [kind] * len(own), [packed(sorted_planes(hashes[cut[p] : cut[p + 1]])) for p in own], [packed(to_planes(counts[cut[p] : cut[p + 1]])) for p in own]]
-                    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["chunk", "part", "kind", "hashes", "counts"])
+                    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["chunk", "part", "kind", "hashes", "counts"])
 
     return chunks.mapInArrow(run, schema)
 
@@ -233,6 +245,13 @@ def _answer(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["chunk", "part", "kind", "places", "totals", "levels", "numbers"])
 
 
+def _totals(chunks: DataFrame, parts: int) -> DataFrame:
+    """The answers to all requests, round by round."""
+    with shuffles_go(chunks.sparkSession):
+        rounds = [stage(_requests(chunks, parts, kinds).groupBy("part", "kind").applyInArrow(_answer, _ANSWER), "totals") for kinds in ROUNDS]
+    return functools.reduce(DataFrame.union, rounds)
+
+
 def _histogram(answers: DataFrame) -> dict[int, dict[int, int]]:
     """By kind: how many distinct items have a level; level -1: the sum over all. A few thousand numbers, whatever the input."""
 
@@ -286,6 +305,19 @@ def _filled(counts: np.ndarray, hashes: np.ndarray, answers: list[dict], parts:
     return out
 
 
+def mixed(counts: np.ndarray, seen: np.ndarray, mass: np.ndarray, history: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """(c + m p) / (s + m) for s and m of each history, or p where that was never seen; few arrays are held at a time."""
+    m = mass[history]
+    out = m * lower
+    out += counts
+    m += seen[history]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out /= m
+    del m
+    np.copyto(out, lower, where=(seen == 0)[history])
+    return out
+
+
 class Automaton:
     """The states, arcs and failure arcs that a chunk can reach; weights are log10.
 
@@ -297,26 +329,32 @@ class Automaton:
         words, pairs, triples = counts
         v = self.size = len(chunk.hashes)
         self.base = v + len(pairs)
-        seen = (words > 0).astype(np.int64)
         p1 = (words + 1.0) / (total + known + 1)
-        self.root, self.after_root = np.log10(p1), np.where(seen > 0, np.arange(v), self.base)
-        first, second = np.divmod(chunk.pairs, v)
+        self.root, self.after_root = np.log10(p1), np.where(words > 0, np.arange(v), self.base)
+        last = np.empty(len(triples), np.int32)
+        last[chunk.triple] = chunk.pair[chunk.later]  # the pair that ends a triple
+        m1, m2 = factors[0] * words**GROWTH, factors[1] * pairs**GROWTH
+        second = (chunk.pairs % v).astype(np.int32)
+        p2 = mixed(pairs, words, m1, (chunk.pairs // v).astype(np.int32), p1[second])
         with np.errstate(divide="ignore", invalid="ignore"):
-            m1, m2 = factors[0] * words**GROWTH, factors[1] * pairs**GROWTH
-            p2 = np.where(words[first] > 0, (pairs + m1[first] * p1[second]) / (words[first] + m1[first]), p1[second])
-            pair, third = np.divmod(chunk.triples, v)
-            last = np.empty(len(triples), np.int64)
-            last[chunk.triple] = chunk.pair[chunk.later]  # the pair that ends a triple
-            p3 = np.where(pairs[pair] > 0, (triples + m2[pair] * p2[last]) / (pairs[pair] + m2[pair]), p2[last])
             lost = [np.where(c > 0, np.log10(m / (c + m)), 0.0) for c, m in ((words, m1), (pairs, m2))]
         self.failure = np.concatenate((*lost, [0.0]))
-        self.fallback = np.concatenate((np.full(v, self.base), second, [self.base]))
-        two, three = np.flatnonzero(pairs > 0), np.flatnonzero(triples > 0)
-        self.keys = np.concatenate((chunk.pairs[two], v * v + chunk.triples[three]))
-        self.weight = np.log10(np.concatenate((p2[two], p3[three])))
-        del p2, p3, pair, third
+        self.fallback = np.concatenate((np.full(v, self.base, np.int32), second, np.array([self.base], np.int32)))
+        del lost, second
+        p3 = mixed(triples, pairs, m2, (chunk.triples // v).astype(np.int32), p2[last])
+        two, three = pairs > 0, triples > 0
+        cut = np.count_nonzero(two)
+        self.weight = np.empty(cut + np.count_nonzero(three))
+        self.weight[:cut], self.weight[cut:] = p2[two], p3[three]
+        del p2, p3, m1, m2
+        np.log10(self.weight, out=self.weight)
+        self.keys = np.empty(len(self.weight), np.int64)
+        self.keys[:cut], self.keys[cut:] = chunk.pairs[two], chunk.triples[three]
+        self.keys[cut:] += v * v
         # a pair that ends a text is no history: its state has no arcs and nothing is read from it
-        self.target = np.concatenate((v + two, v + last[three]))
+        self.target = np.empty(len(self.weight), np.int32)
+        self.target[:cut], self.target[cut:] = np.flatnonzero(two), last[three]
+        self.target += v
         self.begin = chunk.start if words[chunk.start] > 0 else self.base
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -375,7 +413,7 @@ def score_texts(docs: DataFrame, *, learn: Column, id_col: str = "doc_id", text_
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(text_col).alias("text"))
     chunks = stage(_chunks(narrow, chunk_tokens), "chunks")
     parts = max(2 * slots(spark), -(-chunks.count() // CHUNKS_TO_A_PART))
-    answers = stage(_requests(chunks, parts).groupBy("part", "kind").applyInArrow(_answer, _ANSWER), "totals")
+    answers = _totals(chunks, parts)
     held = _histogram(answers)
     total, known = held[WORD].get(-1, 0), sum(n for k, n in held[WORD].items() if k >= 0)
     factors = mass_factors(held)

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of a file, where the rows to come are known: a table of a few thousand rows isn't dealt over hundreds of files.
 FILE_ROWS = 500_000
 
+#: Spark's setting by which a query's shuffle files go when the query ends (4.1 on; other versions ignore it).
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Folders that ``keep`` made, by application, until they are dropped.
 _kept: dict[str, set[str]] = {}
 
@@ -44,6 +49,20 @@ def keep(df: DataFrame, name: str, rows: int | None = None, **options: str) -> D
     return made
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files behind; else those stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+
+
 def tasks(spark: SparkSession) -> int:
     """Tasks for work that is heavy for its rows or makes many of few: sizes in bytes, which AQE and file splits go by, say nothing of it."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

@@ -1,7 +1,10 @@
+import contextlib
 import math
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from gridloom.llm import language_id, lm_score, quality_classifier, quality_rules
 from gridloom.llm._ragged import word_hashes, text_bytes
 from gridloom.llm._spark import holdout
+from gridloom.plans.shared import SHUFFLES_GO
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -349,6 +353,37 @@ def test_scores_without_training_and_without_rows(odd, odd_rows, none, clashing)
     assert lm_score.score_texts(clashing, learn=F.lit(True)).count() == len(odd_rows)
 
 
+def shuffle_bytes(spark):
+    """Bytes of shuffle files on disk, by shuffle."""
+    out = Counter()
+    for top in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs():
+        for path in Path(top.getPath()).glob("*/shuffle_*.data"):
+            with contextlib.suppress(FileNotFoundError):  # files may go meanwhile
+                out[int(path.name.split("_")[1])] += path.stat().st_size
+    return out
+
+
+def test_exchanges_of_totals_are_freed(spark, odd):
+    """Of the blocks that chunks deal out (over 100 000 bytes here) nothing stays on disk beside the totals."""
+    before = set(shuffle_bytes(spark))
+    found = lm_score.score_texts(odd, learn=F.lit(True))  # all but the last exchange is run here
+    until = time.time() + 20
+    while (left := sum(n for k, n in shuffle_bytes(spark).items() if k not in before)) > 20_000 and time.time() < until:
+        time.sleep(0.2)
+    assert left <= 20_000  # histograms
+    assert spark.conf.get(SHUFFLES_GO, None) is None
+    assert found.count() == odd.count()
+
+
+def test_rounds_share_the_blocks(odd):
+    """Words and pairs, then triples: neither round deals out much more than half."""
+    chunks = lm_score._chunks(odd.select("doc_id", F.lit(True), "text").toDF("id", "learn", "text"), 1_000_000)
+    sent = [lm_score._requests(chunks, 4, kinds).collect() for kinds in lm_score.ROUNDS]
+    assert [{r["kind"] for r in rows} for rows in sent] == [{lm_score.WORD, lm_score.PAIR}, {lm_score.TRIPLE}]
+    sizes = [sum(len(r["hashes"]) + len(r["counts"]) for r in rows) for rows in sent]
+    assert max(sizes) < 0.6 * sum(sizes) and sum(sizes) > 100_000
+
+
 def automaton(texts, factors=(2.5, 0.7)):
     texts = [np.array(t) for t in texts]
     size = np.array([len(t) for t in texts], "<u4")
